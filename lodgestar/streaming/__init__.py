@@ -1,0 +1 @@
+"""Intentionally empty: every source is a batch of files, there is no streaming operator."""

@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Fixed value: the characters deleted from a comment before it is split into words.
-DELETED_CHARACTERS = '".?!,'
+DELETED_CHARACTERS = '[".?!,]'
 
 # The rating of a comment without hits, and the scale of the others (0 to 5).
 NEUTRAL_RATING = 2.5
@@ -18,7 +18,7 @@ def words(comment: Column) -> Column:
 
     Trailing spaces make no empty words.
     """
-    cleaned = F.translate(comment, DELETED_CHARACTERS, "")
+    cleaned = F.regexp_replace(comment, DELETED_CHARACTERS, "")
     return F.split(F.lower(F.rtrim(cleaned)), " ")
 
 

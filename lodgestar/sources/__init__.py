@@ -10,6 +10,7 @@ from lodgestar.sources.listings import (
     required_field_nulls,
 )
 from lodgestar.sources.reviews import parse_reviews, read_reviews, rejected_review_rows
+from lodgestar.sources.splits import spread
 
 __all__ = [
     "RawLayout",
@@ -24,4 +25,5 @@ __all__ = [
     "rejected_listing_rows",
     "rejected_review_rows",
     "required_field_nulls",
+    "spread",
 ]

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodgestar.functions import parsing
+from lodgestar.sources.splits import spread
 
 
 def _pieces(spark: SparkSession, paths: str | list[str], mode: str, on_open: str) -> DataFrame:
@@ -70,7 +71,8 @@ def read_reviews(
     on_open: str = "fail",
 ) -> DataFrame:
     """Reviews of all inputs in one scan; see ``_pieces`` for the two ways to cut the text."""
-    return parse_reviews(_pieces(spark, paths, mode, on_open), on_error=on_error)
+    reviews = parse_reviews(_pieces(spark, paths, mode, on_open), on_error=on_error)
+    return spread(reviews, "review_id") if mode == "whole" else reviews
 
 
 def rejected_review_rows(

@@ -7,7 +7,7 @@ used.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,7 +17,7 @@ from lodgestar.functions.rating import words
 from lodgestar.operators import dimensions, facts
 from lodgestar.operators.sentiment import rate_texts
 from lodgestar.operators.star import Star
-from lodgestar.sources import lexicon_from_words
+from lodgestar.sources import lexicon_from_words, spread
 
 # The market segments of the customer table.
 ROOM_TYPES = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
@@ -28,9 +28,12 @@ CITIES = ("AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST")
 class Frames:
     spark: SparkSession
     folder: str
+    _tables: dict[str, DataFrame] = field(default_factory=dict)
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        if name not in self._tables:
+            self._tables[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self._tables[name]
 
     @cached_property
     def listings(self) -> DataFrame:
@@ -39,28 +42,25 @@ class Frames:
             .join(self.table("nation"), F.col("c_nationkey") == F.col("n_nationkey"))
             .join(self.table("region"), F.col("n_regionkey") == F.col("r_regionkey"))
         )
-        host = F.expr("c_custkey div 5")
-        return rows.select(
-            F.col("c_custkey").alias("id"),
+        return rows.selectExpr(
+            "c_custkey AS id",
             # Commas, doubled quotes and a newline, as in real listing titles.
-            F.concat(F.lit('Flat "'), "c_name", F.lit('",\nfloor '), "c_nationkey").alias("name"),
-            host.alias("host_id"),
-            F.concat(F.lit("Host#"), host.cast("string")).alias("host_name"),
-            F.concat_ws("-", "r_name", F.col("n_nationkey") % 2).alias("neighbourhood_group"),
-            F.col("n_name").alias("neighbourhood"),
-            (F.col("c_nationkey") * 1.5).alias("latitude"),
-            (F.col("c_nationkey") * -2.5).alias("longitude"),
-            F.col("c_mktsegment").alias("room_type"),
-            F.round(F.abs("c_acctbal")).cast("int").alias("price"),
-            (F.col("c_custkey") % 3 + 1).cast("int").alias("minimum_nights"),
-            (F.col("c_custkey") % 7 + 1).cast("int").alias("number_of_reviews"),
-            F.when(F.col("c_custkey") % 4 > 0, F.lit("1998-08-02")).alias("last_review"),
-            F.when(F.col("c_custkey") % 4 > 0, F.col("c_custkey") % 8 / 4).alias(
-                "reviews_per_month"
-            ),
-            F.lit(5).alias("calculated_host_listings_count"),
-            (F.col("c_custkey") % 366).cast("int").alias("availability_365"),
-            F.col("r_name").alias("city"),
+            """concat('Flat "', c_name, '",\\nfloor ', c_nationkey) AS name""",
+            "c_custkey div 5 AS host_id",
+            "concat('Host#', c_custkey div 5) AS host_name",
+            "concat_ws('-', r_name, n_nationkey % 2) AS neighbourhood_group",
+            "n_name AS neighbourhood",
+            "c_nationkey * 1.5D AS latitude",
+            "c_nationkey * -2.5D AS longitude",
+            "c_mktsegment AS room_type",
+            "int(round(abs(c_acctbal))) AS price",
+            "int(c_custkey % 3 + 1) AS minimum_nights",
+            "int(c_custkey % 7 + 1) AS number_of_reviews",
+            "CASE WHEN c_custkey % 4 > 0 THEN '1998-08-02' END AS last_review",
+            "CASE WHEN c_custkey % 4 > 0 THEN c_custkey % 8 / 4 END AS reviews_per_month",
+            "5 AS calculated_host_listings_count",
+            "int(c_custkey % 366) AS availability_365",
+            "r_name AS city",
         )
 
     @cached_property
@@ -80,7 +80,8 @@ class Frames:
 
     @cached_property
     def rated_documents(self) -> DataFrame:
-        return rate_texts(self.table("documents"), self.lexicon, key="doc_id", text="text")
+        documents = spread(self.table("documents").select("doc_id", "text"), "doc_id")
+        return rate_texts(documents, self.lexicon, key="doc_id", text="text")
 
     @cached_property
     def stays(self) -> DataFrame:
@@ -107,11 +108,11 @@ class Frames:
         """One row per order line, so most stays meet several; some orders have no line."""
         lines = self.table("lineitem")
         orders = self.table("orders").select("o_orderkey", "o_custkey", "o_orderdate")
-        return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
-            F.col("o_custkey").alias("listing_id"),
-            F.to_date("o_orderdate").alias("date"),
-            (F.col("l_linestatus") == "O").alias("available"),
-            F.when(F.col("l_returnflag") != "R", F.col("l_extendedprice")).alias("price"),
+        return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).selectExpr(
+            "o_custkey AS listing_id",
+            "date(o_orderdate) AS date",
+            "l_linestatus = 'O' AS available",
+            "CASE WHEN l_returnflag != 'R' THEN l_extendedprice END AS price",
         )
 
     @cached_property

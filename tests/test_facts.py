@@ -1,0 +1,173 @@
+import datetime
+import random
+
+import pytest
+from conftest import rows
+from pyspark.sql import functions as F
+
+from lodgestar.operators import dimensions, facts
+
+D1, D2, D3 = (datetime.date(2018, 1, n) for n in (1, 2, 3))
+RATED = "review_id long, listing_id long, date date, rating double"
+CALENDAR = "listing_id long, date date, available boolean, price double"
+LISTINGS = (
+    "id long, host_id long, host_name string, neighbourhood_group string, neighbourhood string, "
+    "city string, room_type string, price int, number_of_reviews int"
+)
+
+
+def listing(id, host=10, room="Private room", price=50, reviews=4, name="Alex", neighbourhood="N1"):
+    return (id, host, name, "G1", neighbourhood, "BERLIN", room, price, reviews)
+
+
+def frames(spark, rated, listings, calendar):
+    return (
+        spark.createDataFrame([(i, *r) for i, r in enumerate(rated)], RATED),
+        spark.createDataFrame(listings, LISTINGS),
+        spark.createDataFrame(calendar, CALENDAR),
+    )
+
+
+MEASURES = (
+    "available_listings_count",
+    "not_available_listings_count",
+    "prices_sum",
+    "ratings_sum",
+    "declared_reviews_count",
+)
+
+
+def measures(spark, rated, listings, calendar, *keys):
+    return rows(facts.fact_reviews(*frames(spark, rated, listings, calendar)), *keys, *MEASURES)
+
+
+def test_no_calendar_row_means_available_at_listing_price(spark):
+    assert measures(spark, [(1, D1, 4.0)], [listing(1)], []) == [(1, 0, 50.0, 4.0, 4)]
+
+
+def test_calendar_row_decides(spark):
+    calendar = [(1, D1, True, 70.0)]
+    assert measures(spark, [(1, D1, 4.0)], [listing(1)], calendar) == [(1, 0, 70.0, 4.0, 4)]
+
+
+def test_missing_calendar_price_stays_missing(spark):
+    calendar = [(1, D1, False, None)]
+    assert measures(spark, [(1, D1, 4.0)], [listing(1)], calendar) == [(0, 1, None, 4.0, 4)]
+
+
+def test_several_calendar_rows_count_the_review_each(spark):
+    calendar = [(1, D1, True, 70.0), (1, D1, False, None), (1, D1, False, 30.0)]
+    assert measures(spark, [(1, D1, 4.0)], [listing(1)], calendar) == [(1, 2, 100.0, 12.0, 12)]
+
+
+def test_null_and_known_price_in_one_group(spark):
+    rated = [(1, D1, 4.0), (2, D1, 3.0)]
+    calendar = [(1, D1, True, 10.0), (2, D1, True, None)]
+    assert measures(spark, rated, [listing(1), listing(2)], calendar) == [(2, 0, 10.0, 7.0, 8)]
+
+
+def test_unlisted_reviews_are_lost_and_null_attributes_are_a_group(spark):
+    rated = [(1, D1, 4.0), (99, D1, 1.0)]
+    listings = [listing(1, neighbourhood=None, room=None)]
+    result = measures(spark, rated, listings, [], "neighbourhood", "room_type", "host_id")
+    assert result == [(None, None, "10", 1, 0, 50.0, 4.0, 4)]
+
+
+def row_level(rated, listings, calendar):
+    """The fact table by plain row-by-row joins."""
+    groups = {}
+    for listing_id, date, rating in rated:
+        for l in (l for l in listings if l[0] == listing_id):
+            matches = [c for c in calendar if c[0] == listing_id and c[1] == date]
+            for _, _, available, price in matches or [(None, None, True, float(l[7]))]:
+                g = groups.setdefault((l[4], date, str(l[1]), l[6]), [0, 0, None, 0.0, 0])
+                g[0 if available else 1] += 1
+                if price is not None:
+                    g[2] = (g[2] or 0.0) + price
+                g[3] += rating
+                g[4] += l[8]
+    return {key: tuple(g) for key, g in groups.items()}
+
+
+def random_case(seed):
+    """Few keys, copies of listings and calendar rows, and one listing with a third of all."""
+    r = random.Random(seed)
+    ids = [1 if r.random() < 0.34 else r.randint(1, 8) for _ in range(120)]
+    dates = [D1, D2, D3]
+    rated = [(i, r.choice(dates), r.choice([0.0, 1.25, 2.5, 5.0])) for i in ids]
+    listings = [
+        listing(i, host=i // 2, room=r.choice(["A", "B"]), price=10 * i, reviews=r.randint(0, 5))
+        for i in [1, 1, 1, 2, 2, 3, 4, 5, 6]
+    ]
+    calendar = [
+        (1 if r.random() < 0.34 else r.randint(1, 8), r.choice(dates), r.random() < 0.5, r.choice([None, 20.0, 35.5]))
+        for _ in range(40)
+    ]
+    return rated, listings, calendar
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+@pytest.mark.parametrize("broadcast", ["10485760", "-1"])
+def test_same_as_row_level_joins(spark, seed, broadcast):
+    case = random_case(seed)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
+    try:
+        result = facts.fact_reviews(*frames(spark, *case)).collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    actual = {tuple(row[k] for k in facts.FACT_KEYS): tuple(row[m] for m in MEASURES) for row in result}
+    assert len(actual) == len(result)
+    assert actual == row_level(*case)
+
+
+def test_counts_add_up_to_the_joined_rows(spark):
+    rated, listings, calendar = frames(spark, *random_case(3))
+    states = facts.review_states(rated, listings, calendar)
+    fact = facts.fact_reviews(rated, listings, calendar)
+    total = F.sum(F.col(MEASURES[0]) + F.col(MEASURES[1]))
+    joined = (
+        facts.join_reviews_listings(rated, listings)
+        .alias("r")
+        .join(calendar.alias("c"), ["listing_id", "date"], "left")
+        .count()
+    )
+    assert fact.agg(total).collect()[0][0] == joined
+    assert states.agg(F.sum("joined_rows")).collect()[0][0] == joined
+
+
+def test_row_ids(spark):
+    case = frames(spark, *random_case(4))
+    first, second = (rows(facts.fact_reviews(*case), "id", *facts.FACT_KEYS) for _ in range(2))
+    assert first == second and len({row[0] for row in first}) == len(first)
+    numbered = facts.fact_reviews(*case, row_id="run")
+    assert numbered.select("id").distinct().count() == len(first)
+    with pytest.raises(ValueError):
+        facts.fact_reviews(*case, row_id="none")
+
+
+def test_row_id_tells_null_and_shifted_keys_apart(spark):
+    frame = spark.createDataFrame([("a", None), (None, "a"), ("a", ""), ("", "a")], "x string, y string")
+    ids = frame.select(facts.stable_id("x", "y").alias("id"))
+    assert ids.distinct().count() == 4
+
+
+def test_dimensions(spark):
+    listings = spark.createDataFrame(
+        [
+            (1, 10, "Zoe", "G2", "N1", "PARIS", "A", 1, 1),
+            (2, 10, "Ann", "G1", "N1", "BERLIN", "B", 1, 1),
+            (3, 11, None, "G0", "N2", "PARIS", "A", 1, 1),
+        ],
+        LISTINGS,
+    )
+    assert rows(dimensions.dim_room_type(listings)) == [("A",), ("B",)]
+    assert rows(dimensions.dim_host(listings)) == [("10", "Ann"), ("11", None)]
+    assert rows(dimensions.dim_neighbourhood(listings)) == [("N1", "G1", "BERLIN"), ("N2", "G0", "PARIS")]
+    reviews = spark.createDataFrame([(D1,), (D2,)], "date date")
+    calendar = spark.createDataFrame([(D2,), (D3,), (D3,)], "date date")
+    assert rows(dimensions.dim_date(calendar, reviews)) == [
+        (D1, 1, 1, 2018),
+        (D2, 2, 1, 2018),
+        (D3, 3, 1, 2018),
+    ]

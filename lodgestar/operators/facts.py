@@ -123,16 +123,18 @@ def fact_reviews(
 def join_reviews_listings(rated: DataFrame, listings: DataFrame) -> DataFrame:
     """Each review with its listing's attributes; reviews of unlisted properties are lost.
 
-    A listing that holds a large share of the reviews is split over tasks by AQE's skew join.
+    Equal copies of a listing are one row with their number in ``copies``, so reviews and copies of
+    one hot listing are not paired. A listing that holds a large share of the reviews is split over
+    tasks by AQE's skew join.
     """
-    attributes = listings.select(
+    attributes = listings.groupBy(
         F.col("id").alias("listing_id"),
         "neighbourhood",
         F.col("host_id").cast("string").alias("host_id"),
         "room_type",
         F.col("price").cast("double").alias("price"),
         "number_of_reviews",
-    )
+    ).agg(F.count(F.lit(1)).alias("copies"))
     return rated.join(attributes, "listing_id")
 
 

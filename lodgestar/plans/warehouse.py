@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from lodgestar.operators import dimensions, facts
 from lodgestar.operators.sentiment import rate_reviews
 from lodgestar.schemas import WAREHOUSE_TABLES
-from lodgestar.session import scratch_path
+from lodgestar.session import stage
 from lodgestar.sources import RawLayout, read_calendar, read_lexicon, read_listings, read_reviews
 
 FACT_TABLE = "tof_reviews"
@@ -94,14 +94,6 @@ class Inputs:
         )
 
 
-def _staged(rows: DataFrame, name: str) -> DataFrame:
-    """Write to the shared folder and read back, so that each input is parsed once."""
-    spark = rows.sparkSession
-    path = scratch_path(spark, name)
-    rows.write.parquet(path)
-    return spark.read.schema(rows.schema).parquet(path)
-
-
 def load_warehouse(
     spark: SparkSession,
     inputs: Inputs,
@@ -126,11 +118,10 @@ def load_warehouse(
         "price",
         "number_of_reviews",
     )
-    listings = _staged(inputs.listings.select(*columns), "listings")
-    review_day = _staged(
-        facts.review_days(rate_reviews(inputs.reviews, inputs.lexicon)), "review-days"
-    )
-    calendar_day = _staged(facts.calendar_days(inputs.calendar), "calendar-days")
+    listings = stage(inputs.listings.select(*columns), "listings")
+    rated = rate_reviews(inputs.reviews, inputs.lexicon)
+    review_day = stage(facts.review_days(rated), "review-days")
+    calendar_day = stage(facts.calendar_days(inputs.calendar), "calendar-days")
 
     def insert(rows: DataFrame, name: str) -> None:
         insert_rows(rows, name, database, overwrite=overwrite)

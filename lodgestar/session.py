@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime re-planning does the sizing: start with many small shuffle partitions, let AQE merge
 # them, split a partition that one hot key has filled, and turn a join into a broadcast join only
@@ -53,3 +53,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
             root = tempfile.mkdtemp(prefix="lodgestar-")
             _scratch_roots[context.applicationId] = root
     return f"{root.rstrip('/')}/lodgestar/{name}-{uuid.uuid4().hex}"
+
+
+def stage(rows: DataFrame, name: str) -> DataFrame:
+    """Write to the shared folder and read back: what is used several times is computed once.
+
+    The written files also cut the lineage, so losing an executor later costs no recomputation.
+    """
+    spark = rows.sparkSession
+    path = scratch_path(spark, name)
+    rows.write.parquet(path)
+    return spark.read.schema(rows.schema).parquet(path)

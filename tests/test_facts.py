@@ -126,12 +126,14 @@ def test_counts_add_up_to_the_joined_rows(spark):
     states = facts.review_states(rated, listings, calendar)
     fact = facts.fact_reviews(rated, listings, calendar)
     total = F.sum(F.col(MEASURES[0]) + F.col(MEASURES[1]))
+    attributes = facts.join_reviews_listings(rated, listings)
     joined = (
-        facts.join_reviews_listings(rated, listings)
-        .alias("r")
-        .join(calendar.alias("c"), ["listing_id", "date"], "left")
-        .count()
+        attributes.join(calendar.select("listing_id", "date"), ["listing_id", "date"], "left")
+        .agg(F.sum("copies"))
+        .collect()[0][0]
     )
+    plain = rated.join(listings, F.col("listing_id") == F.col("id")).count()
+    assert attributes.agg(F.sum("copies")).collect()[0][0] == plain
     assert fact.agg(total).collect()[0][0] == joined
     assert states.agg(F.sum("joined_rows")).collect()[0][0] == joined
 
@@ -171,3 +173,36 @@ def test_dimensions(spark):
         (D2, 2, 1, 2018),
         (D3, 3, 1, 2018),
     ]
+
+
+def test_a_hot_listing_and_day_makes_no_pairs(spark):
+    """A third of 300,000 reviews and calendar rows, and 3,000 equal listings, share one key.
+
+    Row by row this is 3 * 10^13 combinations.
+    """
+    n = 300_000
+    hot = F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id"))
+    rated = spark.range(n).select(
+        F.col("id").alias("review_id"),
+        hot.alias("listing_id"),
+        F.lit(D1).alias("date"),
+        F.lit(2.5).alias("rating"),
+    )
+    calendar = spark.range(n).select(
+        hot.alias("listing_id"),
+        F.lit(D1).alias("date"),
+        (F.col("id") % 2 == 0).alias("available"),
+        F.when(F.col("id") % 2 == 0, F.lit(2.0)).alias("price"),
+    )
+    copies = spark.createDataFrame([listing(0, price=7)], LISTINGS).crossJoin(spark.range(3_000).select())
+    fact = facts.fact_reviews(rated, copies, calendar).select(*MEASURES)
+    third, half = n // 3, n // 6
+    pairs = third * 3_000
+    expected = (pairs * half, pairs * half, 2.0 * pairs * half, 2.5 * pairs * third, 4 * pairs * third)
+    assert [tuple(row) for row in fact.collect()] == [expected]
+    states = facts.review_states(rated, copies, calendar)
+    assert rows(states, "available", "price", "joined_rows") == [
+        (False, None, pairs * half),
+        (True, 2.0, pairs * half),
+    ]
+    assert facts.join_reviews_listings(rated, copies).count() == third

@@ -7,7 +7,7 @@ import pytest
 from validation.queries import all_queries
 
 FOLDER = "/root/testdata/sf0.001"
-# These write files or tables while they are built; their reads are covered by the others.
+# These write raw files or tables while they are built; their reads are covered by the others.
 WRITING = {
     "load_lexicon",
     "rejected_rows",

@@ -276,7 +276,8 @@ def all_oracle_sql() -> dict[str, str]:
             [_LISTINGS, _LEXICON, _RATED_DOCUMENTS, _RATED],
             """SELECT listing_id, review_id, date, round(rating, 10) AS rating, neighbourhood,
             CAST(host_id AS VARCHAR) AS host_id, room_type, CAST(price AS DOUBLE) AS price,
-            number_of_reviews FROM rated JOIN listings ON listing_id = id""",
+            number_of_reviews, count(*) AS copies FROM rated JOIN listings ON listing_id = id
+            GROUP BY ALL""",
         ),
         "left_join_calendar": _with(
             _STAR[:6],

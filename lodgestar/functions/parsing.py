@@ -18,7 +18,7 @@ REVIEW_PREFIX = "Review "
 # A record whose quoted comment has no closing quote in the same piece of text.
 _OPEN_COMMENT = r'.{6} \d+ for listing \d+ .+\d{4}-\d+-\d+:"[^"]*\z'
 
-_ISO_FORMAT = "yyyy-MM-dd"
+_ISO_DATE = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}\z"
 _UNIT_SEPARATOR = "\x1f"
 
 
@@ -32,17 +32,28 @@ def cast(value: Column, data_type, on_error: str = "fail") -> Column:
     return value.cast(data_type) if on_error == "fail" else value.try_cast(data_type)
 
 
+def required(value: Column, what: str) -> Column:
+    """The value; null fails the job."""
+    return F.coalesce(value, F.raise_error(F.lit(f"{what} is missing")))
+
+
 def iso_date(value: Column, on_error: str = "fail") -> Column:
-    """Strict ``yyyy-MM-dd``: the format is given so that ``2018-1-2`` is an error."""
+    """Strict ``yyyy-MM-dd``: ``2018-1-2``, which a cast takes, is an error.
+
+    A shape test and a cast take less than half the time of parsing with a format.
+    """
     _check_mode(on_error)
-    if on_error == "fail":
-        return F.to_date(value, _ISO_FORMAT)
-    return F.try_to_date(value, _ISO_FORMAT)
+    if on_error == "null":
+        return F.when(value.rlike(_ISO_DATE), value.try_cast("date"))
+    error = F.raise_error(F.concat(F.lit("not a date: "), F.coalesce(value, F.lit("null"))))
+    return F.when(value.rlike(_ISO_DATE), value.cast("date")).otherwise(error)
 
 
 def money(value: Column, on_error: str = "fail") -> Column:
     """``$1,234.50`` -> 1234.5; null stays null."""
-    return cast(F.translate(value, "$,", ""), "double", on_error)
+    empty = F.lit("")
+    digits = F.replace(F.replace(value, F.lit("$"), empty), F.lit(","), empty)
+    return cast(digits, "double", on_error)
 
 
 def flag(value: Column) -> Column:

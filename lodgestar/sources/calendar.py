@@ -23,8 +23,11 @@ def read_calendar(
     the cluster. ``multi_line`` also accepts newlines inside quoted fields, one task per file.
     """
     raw = read_named_csv(spark, paths, CALENDAR_FIELDS, multi_line=multi_line)
+    listing_id = parsing.cast(F.col("listing_id"), "long", on_error)
+    if on_error == "fail":
+        listing_id = parsing.required(listing_id, "listing_id of a calendar row")
     return raw.select(
-        parsing.cast(F.col("listing_id"), "long", on_error).alias("listing_id"),
+        listing_id.alias("listing_id"),
         parsing.iso_date(F.col("date"), on_error).alias("date"),
         parsing.flag(F.col("available")).alias("available"),
         parsing.money(F.col("price"), on_error).alias("price"),

@@ -37,7 +37,7 @@ def test_flag_is_true_for_t_only(spark):
 def test_date_is_strict(spark):
     good = strings(spark, "2018-01-02").select(parsing.iso_date(F.col("value")))
     assert good.collect()[0][0] == day(2018, 1, 2)
-    for text in ("2018-1-2", "2018-02-30", "02.01.2018"):
+    for text in ("2018-1-2", "2018-02-30", "02.01.2018", "2018-01-2 ", "2018-01-02\n", " ", None):
         bad = strings(spark, text)
         with pytest.raises(PySparkException):
             bad.select(parsing.iso_date(F.col("value"))).collect()

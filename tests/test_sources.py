@@ -2,6 +2,8 @@ import datetime
 
 import pytest
 from conftest import rows
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.errors import PySparkException
 
 from lodgestar.sources import (
@@ -98,16 +100,20 @@ def test_calendar(spark, tmp_path, multi_line):
 def test_bad_calendar_rows(spark, tmp_path):
     path = write(
         tmp_path / "a.csv",
-        "listing_id,date,available,price\n1,2018-1-1,t,$5\n2,2018-01-01,t,five\n3,2018-01-01,t,$5\n",
+        "listing_id,date,available,price\n1,2018-1-1,t,$5\n2,2018-01-01,t,five\n3,2018-01-01,t,$5\n"
+        ",2018-01-01,t,$5\n",
     )
-    with pytest.raises(PySparkException):
-        read_calendar(spark, path).collect()
+    for column in ("listing_id", "date", "price"):
+        with pytest.raises(PySparkException):
+            read_calendar(spark, path).select(column).collect()
+    assert read_calendar(spark, path).select("available").count() == 4
     assert rows(read_calendar(spark, path, on_error="null"), "listing_id", "date", "price") == [
+        (None, day(2018, 1, 1), 5.0),
         (1, None, 5.0),
         (2, day(2018, 1, 1), None),
         (3, day(2018, 1, 1), 5.0),
     ]
-    assert rows(rejected_calendar_rows(spark, path), "listing_id") == [("1",), ("2",)]
+    assert rows(rejected_calendar_rows(spark, path), "listing_id") == [(None,), ("1",), ("2",)]
 
 
 def review_text(count):
@@ -152,6 +158,44 @@ def test_cut_comment_fails_instead_of_differing(spark, tmp_path):
     assert rows(kept, "listing_id", "comment") == [(3, "next")]
 
 
+piece = st.sampled_from(
+    [
+        "Review 1 for listing 2 x 2018-01-01:",
+        "Review 22 for listing 33 2017-01-01: x 2018-01-02:",
+        "Rating 5 for listing 6 x 2018-01-03:",
+        '"quoted"',
+        '"two\nlines"',
+        '""',
+        "plain",
+        "Review of it",
+        "\n",
+        "\r\n",
+        " ",
+        "2018-01-09:",
+    ]
+)
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.lists(piece, max_size=40).map("".join), min_size=1, max_size=12))
+def test_any_text_is_read_alike_or_refused(spark, tmp_path_factory, texts):
+    """Whatever the files hold, splitting them gives what a search of whole files gives, or fails."""
+    folder = tmp_path_factory.mktemp("texts")
+    closed = []
+    for n, text in enumerate(texts):
+        path = write(folder / f"{n}.txt", "Review 0 for listing 1 x 2018-01-05:start\n" + text)
+        try:
+            read_reviews(spark, path).collect()
+            closed.append(path)
+        except PySparkException as error:
+            assert "comment not closed" in str(error)
+    columns = ("listing_id", "date", "comment")
+    if closed:
+        whole = rows(read_reviews(spark, closed, mode="whole"), *columns)
+        assert rows(read_reviews(spark, closed), *columns) == whole
+        assert len(whole) >= len(closed)
+
+
 def test_rejected_reviews(spark, tmp_path):
     path = write(
         tmp_path / "a.txt",

@@ -6,6 +6,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 from test_sources import HEADER, write
 
+from lodgestar.__main__ import main
 from lodgestar.operators.star import Star
 from lodgestar.plans import analyses, warehouse
 from lodgestar.schemas import WAREHOUSE_TABLES
@@ -139,3 +140,15 @@ def test_scratch_folder_is_the_configured_one(spark):
 def test_shuffle_partition_estimate():
     assert shuffle_partitions_for(1) == 8
     assert shuffle_partitions_for(100 << 40) == 819200
+
+
+def test_command_line(spark, raw, capsys):
+    words = ["--positive", str(raw / "words/positive"), "--negative", str(raw / "words/negative")]
+    main(["load", str(raw), *words, "--cities", "BERLIN", "PARIS", "--database", "commands"])
+    main(["reviews-by-year", "BERLIN", "--database", "commands"])
+    main(["avg-price-by-month", "PARIS", "--months", "3", "--database", "commands"])
+    main(["top-hosts", "BERLIN", "--min-reviews", "0", "--k", "1", "--database", "commands"])
+    printed = [line.replace(" ", "") for line in capsys.readouterr().out.splitlines()]
+    assert "|2018|1|2|" in printed
+    assert "|3|90.0|NULL|" in printed
+    assert "|Mitte|Ann|5.0|2|" in printed

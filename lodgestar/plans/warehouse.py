@@ -11,7 +11,14 @@ from lodgestar.operators import dimensions, facts
 from lodgestar.operators.sentiment import rate_reviews
 from lodgestar.schemas import WAREHOUSE_TABLES
 from lodgestar.session import stage
-from lodgestar.sources import RawLayout, read_calendar, read_lexicon, read_listings, read_reviews
+from lodgestar.sources import (
+    RawLayout,
+    check_required,
+    read_calendar,
+    read_lexicon,
+    read_listings,
+    read_reviews,
+)
 
 FACT_TABLE = "tof_reviews"
 
@@ -86,8 +93,9 @@ class Inputs:
         on_error: str = "fail",
         normalize_lexicon: bool = False,
     ) -> Inputs:
+        listings = read_listings(spark, layout.listings(), on_error=on_error)
         return cls(
-            read_listings(spark, layout.listings(), on_error=on_error),
+            check_required(listings) if on_error == "fail" else listings,
             read_calendar(spark, layout.calendars(), on_error=on_error),
             read_reviews(spark, layout.reviews(), mode=review_mode, on_error=on_error),
             read_lexicon(spark, positive_words, negative_words, normalize=normalize_lexicon),

@@ -3,6 +3,7 @@ import re
 
 import pytest
 from conftest import rows
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 from test_sources import HEADER, write
 
@@ -100,6 +101,17 @@ def test_load_from_files(spark, raw, file_format, by_year, mode):
     ]
 
 
+def test_listing_without_price_fails_the_load_or_counts_without_it(spark, raw):
+    path = raw / "listing/ParisListings.csv"
+    path.write_text(path.read_text().replace(",90,1,7,", ",,1,7,"))
+    warehouse.create_warehouse(spark, "holes")
+    with pytest.raises(PySparkException, match="listing without price"):
+        warehouse.load_warehouse(spark, inputs(spark, raw), "holes")
+    warehouse.load_warehouse(spark, inputs(spark, raw, on_error="null"), "holes")
+    paris = spark.table("holes.tof_reviews").where("neighbourhood = 'Louvre'")
+    assert rows(paris, "available_listings_count", "prices_sum") == [(1, None)]
+
+
 def test_append_adds_and_overwrite_replaces(spark):
     warehouse.create_warehouse(spark, "modes")
     hosts = spark.createDataFrame([("1", "Ann")], "host_id string, host_name string")

@@ -127,7 +127,8 @@ def load_warehouse(
         "number_of_reviews",
     )
     listings = stage(inputs.listings.select(*columns), "listings")
-    rated = rate_reviews(inputs.reviews, inputs.lexicon)
+    # Once written, the lexicon's measured size decides whether it is broadcast.
+    rated = rate_reviews(inputs.reviews, stage(inputs.lexicon, "lexicon"))
     review_day = stage(facts.review_days(rated), "review-days")
     calendar_day = stage(facts.calendar_days(inputs.calendar), "calendar-days")
 

@@ -17,6 +17,8 @@ from lodgestar.functions.rating import words
 from lodgestar.operators import dimensions, facts
 from lodgestar.operators.sentiment import rate_texts
 from lodgestar.operators.star import Star
+from lodgestar.plans.warehouse import create_warehouse, insert_rows
+from lodgestar.session import scratch_path, stage
 from lodgestar.sources import lexicon_from_words, spread
 
 # The market segments of the customer table.
@@ -24,6 +26,18 @@ ROOM_TYPES = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
 CITIES = ("AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST")
 
 
+# Application and folder of tables -> database with their warehouse.
+_warehouses: dict[tuple[str, str], str] = {}
+
+
+def new_database(spark: SparkSession, **options) -> str:
+    """An empty warehouse below the shared folder."""
+    location = scratch_path(spark, "warehouse")
+    database = "lodgestar_" + location.rsplit("-", 1)[1]
+    create_warehouse(spark, database, location=location, **options)
+    return database
+
+
 @dataclass
 class Frames:
     spark: SparkSession
@@ -65,9 +79,12 @@ class Frames:
 
     @cached_property
     def lexicon(self) -> DataFrame:
-        """Benchmark words of more than 3 characters: even length positive, else negative."""
+        """Benchmark words of more than 3 characters: even length positive, else negative.
+
+        Staged, so that its measured size and not that of the texts decides whether it is broadcast.
+        """
         positive, negative = self.lexicon_words
-        return lexicon_from_words(positive, negative)
+        return stage(lexicon_from_words(positive, negative), "lexicon")
 
     @property
     def lexicon_words(self) -> tuple[DataFrame, DataFrame]:
@@ -123,15 +140,30 @@ class Frames:
     def dates(self) -> DataFrame:
         return dimensions.dim_date(self.calendar, self.stays)
 
-    @cached_property
+    @property
     def star(self) -> Star:
-        return Star(
-            fact=self.facts,
-            neighbourhood=dimensions.dim_neighbourhood(self.listings),
-            date=self.dates,
-            room_type=dimensions.dim_room_type(self.listings),
-            host=dimensions.dim_host(self.listings),
-        )
+        """The warehouse tables of these frames, loaded at their first use in an application.
+
+        The analyses read tables, as they do in practice: Spark then knows the size of each
+        dimension when it plans a join, and the facts are computed once for all of them.
+        """
+        key = (self.spark.sparkContext.applicationId, self.folder)
+        if key not in _warehouses:
+            _warehouses[key] = self._load_warehouse()
+        return Star.from_catalog(self.spark, _warehouses[key])
+
+    def _load_warehouse(self) -> str:
+        database = new_database(self.spark, fact_by_year=True)
+        tables = {
+            "dim_room_type": dimensions.dim_room_type(self.listings),
+            "dim_neighbourhood": dimensions.dim_neighbourhood(self.listings),
+            "dim_date": self.dates,
+            "dim_host": dimensions.dim_host(self.listings),
+            "tof_reviews": self.facts,
+        }
+        for name, rows in tables.items():
+            insert_rows(rows, name, database)
+        return database
 
     @cached_property
     def review_records(self) -> DataFrame:

@@ -6,7 +6,6 @@ Sums of doubles are rounded, as the order of summation is open.
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,7 +14,7 @@ from lodgestar.functions import parsing
 from lodgestar.operators import dimensions, facts, sentiment
 from lodgestar.operators.star import Star, star_join
 from lodgestar.plans import analyses, warehouse
-from lodgestar.session import scratch_path, stage
+from lodgestar.session import scratch_path
 from lodgestar.sources import (
     check_required,
     parse_reviews,
@@ -26,7 +25,7 @@ from lodgestar.sources import (
     rejected_calendar_rows,
     required_field_nulls,
 )
-from validation.frames import CITIES, ROOM_TYPES, Frames
+from validation.frames import CITIES, ROOM_TYPES, Frames, new_database
 
 CITY = "EUROPE"
 MONTHS = [1, 6, 7, 10]
@@ -289,48 +288,33 @@ def host_ratings(frames: Frames) -> DataFrame:
     return analyses.host_ratings(frames.star)
 
 
-def _staged_star(frames: Frames) -> Star:
-    """For analyses that read the facts twice: written once, as the warehouse tables are."""
-    return replace(
-        frames.star, fact=stage(frames.facts, "facts"), date=stage(frames.dates, "dates")
-    )
-
-
 @query
 def latest_year_hosts(frames: Frames) -> DataFrame:
-    return analyses.latest_year_hosts(_staged_star(frames), min_reviews=MIN_REVIEWS)
+    return analyses.latest_year_hosts(frames.star, min_reviews=MIN_REVIEWS)
 
 
 @query
 def top_hosts_per_group(frames: Frames) -> DataFrame:
-    return analyses.top_hosts(_staged_star(frames), min_reviews=MIN_REVIEWS)
+    return analyses.top_hosts(frames.star, min_reviews=MIN_REVIEWS)
 
 
 @query
 def top_hosts_city(frames: Frames) -> DataFrame:
-    return analyses.top_hosts(_staged_star(frames), CITY, min_reviews=MIN_REVIEWS)
+    return analyses.top_hosts(frames.star, CITY, min_reviews=MIN_REVIEWS)
 
 
 @query
 def top_hosts_sql(frames: Frames) -> DataFrame:
-    star = _staged_star(frames)
-    return analyses.top_hosts_sql(frames.spark, star, CITY, min_reviews=MIN_REVIEWS)
+    return analyses.top_hosts_sql(frames.spark, frames.star, CITY, min_reviews=MIN_REVIEWS)
 
 
 # --- warehouse ----------------------------------------------------------------------------------
 
 
-def _new_database(frames: Frames, **options) -> str:
-    location = scratch_path(frames.spark, "warehouse")
-    database = "lodgestar_" + location.rsplit("-", 1)[1]
-    warehouse.create_warehouse(frames.spark, database, location=location, **options)
-    return database
-
-
 @query
 def warehouse_roundtrip(frames: Frames) -> DataFrame:
     """Fact rows inserted by position, replaced by a second insert, and read back."""
-    database = _new_database(frames)
+    database = new_database(frames.spark)
     warehouse.insert_rows(frames.facts, "tof_reviews", database)
     warehouse.insert_rows(frames.facts, "tof_reviews", database)
     return Star.from_catalog(frames.spark, database).fact.select(*_fact_columns())
@@ -339,7 +323,7 @@ def warehouse_roundtrip(frames: Frames) -> DataFrame:
 @query
 def warehouse_append(frames: Frames) -> DataFrame:
     """The same rows appended twice are there twice."""
-    database = _new_database(frames)
+    database = new_database(frames.spark)
     for _ in range(2):
         rows = dimensions.dim_neighbourhood(frames.listings)
         warehouse.insert_rows(rows, "dim_neighbourhood", database, overwrite=False)
@@ -358,7 +342,7 @@ def warehouse_full_load(frames: Frames) -> DataFrame:
         read_reviews(spark, _write_reviews(frames)),
         read_lexicon(spark, positive_words, negative_words),
     )
-    database = _new_database(frames, fact_by_year=True)
+    database = new_database(spark, fact_by_year=True)
     warehouse.load_warehouse(spark, inputs, database)
     joined = star_join(Star.from_catalog(spark, database)).drop("id")
     return joined.withColumn("prices_sum", F.round("prices_sum", 2)).withColumn(

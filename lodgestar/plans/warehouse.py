@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from lodgestar.operators import dimensions, facts
 from lodgestar.operators.sentiment import rate_reviews
 from lodgestar.schemas import WAREHOUSE_TABLES
-from lodgestar.session import stage
+from lodgestar.session import run_together, stage
 from lodgestar.sources import (
     RawLayout,
     check_required,
@@ -110,7 +111,7 @@ def load_warehouse(
     overwrite: bool = True,
     row_id: str = "stable",
 ) -> None:
-    """Fill the dimensions, then the fact table.
+    """Fill the dimensions and the fact table.
 
     Listings are staged as parsed, reviews and calendar as sums per listing and date: that is all
     the dates and the facts need, and much less than the raw text.
@@ -126,23 +127,28 @@ def load_warehouse(
         "price",
         "number_of_reviews",
     )
-    listings = stage(inputs.listings.select(*columns), "listings")
     # Once written, the lexicon's measured size decides whether it is broadcast.
     rated = rate_reviews(inputs.reviews, stage(inputs.lexicon, "lexicon"))
-    review_day = stage(facts.review_days(rated), "review-days")
-    calendar_day = stage(facts.calendar_days(inputs.calendar), "calendar-days")
-
-    def insert(rows: DataFrame, name: str) -> None:
-        insert_rows(rows, name, database, overwrite=overwrite)
-
-    insert(dimensions.dim_room_type(listings), "dim_room_type")
-    insert(dimensions.dim_neighbourhood(listings).orderBy("city"), "dim_neighbourhood")
+    listings, review_day, calendar_day = run_together(
+        spark,
+        partial(stage, inputs.listings.select(*columns), "listings"),
+        partial(stage, facts.review_days(rated), "review-days"),
+        partial(stage, facts.calendar_days(inputs.calendar), "calendar-days"),
+    )
     dates = dimensions.dim_date(calendar_day, review_day)
-    insert(dates.orderBy("year", "month", "day"), "dim_date")
-    insert(dimensions.dim_host(listings), "dim_host")
-    insert(
-        facts.fact_from_days(
+    tables = {
+        "dim_room_type": dimensions.dim_room_type(listings),
+        "dim_neighbourhood": dimensions.dim_neighbourhood(listings).orderBy("city"),
+        "dim_date": dates.orderBy("year", "month", "day"),
+        "dim_host": dimensions.dim_host(listings),
+        FACT_TABLE: facts.fact_from_days(
             review_day, calendar_day, facts.listing_groups(listings), row_id=row_id
         ),
-        FACT_TABLE,
+    }
+    run_together(
+        spark,
+        *[
+            partial(insert_rows, rows, name, database, overwrite=overwrite)
+            for name, rows in tables.items()
+        ],
     )

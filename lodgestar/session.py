@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 # Runtime re-planning does the sizing: start with many small shuffle partitions, let AQE merge
@@ -64,3 +67,14 @@ def stage(rows: DataFrame, name: str) -> DataFrame:
     path = scratch_path(spark, name)
     rows.write.parquet(path)
     return spark.read.schema(rows.schema).parquet(path)
+
+
+def run_together(spark: SparkSession, *actions: Callable[[], object]) -> list:
+    """Results of independent Spark actions, submitted at once.
+
+    While the last tasks of one write run, the others use the free slots. The first error is raised
+    after all have ended.
+    """
+    with ThreadPoolExecutor(len(actions)) as pool:
+        pending = [pool.submit(inheritable_thread_target(spark)(action)) for action in actions]
+    return [future.result() for future in pending]

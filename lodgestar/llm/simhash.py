@@ -11,7 +11,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -101,12 +100,18 @@ def _linked(points: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _bucket_links(buckets: DataFrame, by: list[str], radius: int) -> DataFrame:
-    def search(group: pd.DataFrame) -> pd.DataFrame:
-        points = group["fp"].to_numpy().view(np.uint64)
-        a, b = _linked(points, radius)
-        return pd.DataFrame({"a": a.view(np.int64), "b": b.view(np.int64)})
-
-    return buckets.groupBy(*by).applyInPandas(search, "a long, b long")
+    """Links within each bucket. A bucket is one row, as its size is bounded."""
+
+    def search(rows: dict[str, list]) -> dict[str, list]:
+        found = [_linked(np.array(fps, np.int64).view(np.uint64), radius) for fps in rows["fps"]]
+        return {
+            "a": np.concatenate([a for a, _ in found]).view(np.int64),
+            "b": np.concatenate([b for _, b in found]).view(np.int64),
+        }
+
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+    lists = buckets.groupBy(*by).agg(F.collect_list("fp").alias("fps")).select("fps")
+    return lists.mapInArrow(by_batch(search, schema), "a long, b long")
 
 
 def fingerprint_links(distinct: DataFrame, radius: int = RADIUS) -> DataFrame:

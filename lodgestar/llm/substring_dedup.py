@@ -98,10 +98,6 @@ def anchors(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return phrases, views.argmin(axis=1) + np.arange(len(views))
 
 
-def _signed(values: np.ndarray) -> list[int]:
-    return values.view(np.int64).tolist()
-
-
 def _runs(starts: np.ndarray) -> list[tuple[int, int]]:
     """Ranges (first word, word after the last) that windows at sorted ``starts`` cover."""
     if not len(starts):
@@ -174,58 +170,82 @@ def _automaton(pieces: list[list[str]]) -> ahocorasick.Automaton:
     return found
 
 
-def _near_tiles(automaton: ahocorasick.Automaton, words: list[str]) -> np.ndarray:
-    """Whether the window at each word holds a tile of the automaton."""
-    ends = np.fromiter((e for e, _ in automaton.iter(f" {' '.join(words)} ")), np.int64)
-    lengths = np.fromiter(map(len, words), np.int64, len(words))
-    # Position of the space after each word.
-    after = np.cumsum(lengths + 1)
-    last = np.searchsorted(after, ends)
+def _near_tiles(automaton: ahocorasick.Automaton, text: str, words: list[bytes]) -> np.ndarray:
+    """Whether the window at each word of ``text`` holds a tile of the automaton."""
+    ends = np.fromiter((e for e, _ in automaton.iter(text)), np.int64)
+    # Positions of the space after each word, in characters as the automaton counts them.
+    codes = np.array(text, dtype=f"<U{len(text)}").reshape(1).view(np.uint32)
+    after = np.flatnonzero(codes == ord(" "))[1:]
     hit = np.zeros(len(words) + 1, np.int64)
-    hit[last - TILE + 1] = 1  # first word of a tile
+    hit[np.searchsorted(after, ends) - TILE + 1] = 1  # first word of a tile
     upto = np.concatenate([[0], np.cumsum(hit)])
     starts = np.arange(max(0, len(words) - WINDOW + 1))
     return upto[starts + WINDOW - TILE + 1] - upto[starts] > 0
 
 
+#: Stands between passages that are read as one text; no word holds it.
+_BREAK = "\n"
+
+
+def _joined(pieces: pd.Series) -> tuple[str, list[bytes], np.ndarray, np.ndarray]:
+    """All passages as one text: its words, and per window its passage and whether it is in one."""
+    text = f" {f' {_BREAK} '.join(pieces)} "
+    words = text.encode()[1:-1].split(b" ")
+    breaks = np.fromiter((w == b"\n" for w in words), np.int64, len(words))
+    upto = np.concatenate([[0], np.cumsum(breaks)])
+    starts = np.arange(max(0, len(words) - WINDOW + 1))
+    return text, words, upto[starts], upto[starts + WINDOW] == upto[starts]
+
+
 def _search(group: pd.DataFrame) -> pd.DataFrame:
-    """Repeated windows of the passages of one shard, and the windows that their owners lack."""
-    own = group[group["id"] == group["owner"]]
-    patterns = [p.split(" ") for p in own["piece"]]
-    automaton = _automaton(patterns)
-    hashed = [word_hashes([w.encode() for w in words]) for words in patterns]
-    windows = [phrase_hashes(h, WINDOW, _FULL) for h in hashed]
-    known = np.concatenate([*windows, np.zeros(0, np.uint64)])
-    holders = np.repeat(own["id"].to_numpy(), [len(w) for w in windows])
-    order = np.lexsort((holders, known))
-    known, holders = known[order], holders[order]  # the smallest holder comes first
-    out: dict[str, list] = {n: [] for n in ("id", "content", "starts", "ends", "at", "h1", "h2")}
-    stream = group[group["id"] != group["owner"]]
-    for row in stream.itertuples(index=False):
-        words = row.piece.split(" ")
-        hashes = word_hashes([w.encode() for w in words])
-        full = phrase_hashes(hashes, WINDOW, _FULL)
-        repeated = np.zeros(len(full), bool)
-        if len(known):
-            place = np.minimum(np.searchsorted(known, full), len(known) - 1)
-            repeated = (known[place] == full) & (holders[place] < row.id)
-            repeated &= _near_tiles(automaton, words)
-        runs = _runs(np.flatnonzero(repeated))
-        open_ = np.flatnonzero(~repeated)
-        out["id"].append(row.id)
-        out["content"].append(row.content)
-        out["starts"].append([row.at + a for a, _ in runs])
-        out["ends"].append([row.at + b for _, b in runs])
-        out["at"].append((open_ + row.at).tolist())
-        out["h1"].append(_signed(full[open_]))
-        out["h2"].append(_signed(phrase_hashes(hashes, WINDOW, _BASE)[open_]))
-    return pd.DataFrame(out)
-
-
-_FOUND = (
-    "id long, content long, starts array<long>, ends array<long>, "
-    "at array<long>, h1 array<long>, h2 array<long>"
-)
+    """Of the passages of one shard, repeated ranges, and the windows that their owners lack."""
+    is_own = group["id"] == group["owner"]
+    own, stream = group[is_own], group[~is_own]
+    nothing = {n: [] for n in ("id", "content", "starts", "ends", "h1", "h2")}
+    if not len(stream):
+        return pd.DataFrame(nothing)
+    text, words, piece, whole = _joined(stream["piece"])
+    hashes = word_hashes(words)
+    full = phrase_hashes(hashes, WINDOW, _FULL)
+    ids, contents, firsts = (stream[n].to_numpy() for n in ("id", "content", "at"))
+    # Word 0 of each passage in the joined text, to which breaks add one word each.
+    sizes = np.fromiter((p.count(" ") + 2 for p in stream["piece"]), np.int64, len(stream))
+    offset = firsts - np.concatenate([[0], np.cumsum(sizes)[:-1]])
+    repeated = np.zeros(len(full), bool)
+    if len(own):
+        _, own_words, own_piece, own_whole = _joined(own["piece"])
+        known = phrase_hashes(word_hashes(own_words), WINDOW, _FULL)[own_whole]
+        holders = own["id"].to_numpy()[own_piece[own_whole]]
+        order = np.lexsort((holders, known))
+        known, holders = known[order], holders[order]  # the smallest holder comes first
+        place = np.minimum(np.searchsorted(known, full), len(known) - 1)
+        repeated = whole & (known[place] == full) & (holders[place] < ids[piece])
+        repeated &= _near_tiles(_automaton([p.split(" ") for p in own["piece"]]), text, words)
+    out = []
+    at = np.flatnonzero(repeated)
+    if len(at):
+        new = (np.diff(at) > WINDOW) | (np.diff(piece[at]) > 0)
+        first = at[np.concatenate([[True], new])]
+        last = at[np.concatenate([new, [True]])]
+        own_of = piece[first]
+        out.append((ids[own_of], contents[own_of], first + offset[own_of], last + offset[own_of] + WINDOW))
+    open_ = np.flatnonzero(whole & ~repeated)
+    own_of = piece[open_]
+    start = open_ + offset[own_of]
+    ranges = pd.DataFrame(dict(zip(nothing, out[0]))) if out else pd.DataFrame()
+    left = {
+        "id": ids[own_of],
+        "content": contents[own_of],
+        "starts": start,
+        "ends": start + WINDOW,
+        "h1": full[open_].view(np.int64),
+        "h2": phrase_hashes(hashes, WINDOW, _BASE)[open_].view(np.int64),
+    }
+    both = pd.concat([ranges, pd.DataFrame(left)], ignore_index=True)
+    return both.astype({"h1": "Int64", "h2": "Int64"})
+
+
+_FOUND = "id long, content long, starts long, ends long, h1 long, h2 long"
 
 
 def _sharded(pieces: DataFrame) -> DataFrame:
@@ -275,25 +295,16 @@ def repeated_ranges(docs: DataFrame) -> DataFrame:
     pieces = stage(_passages(named.join(held, "id")), "passages")
     groups = _sharded(pieces).groupBy("shard", "large", "salt")
     found = stage(groups.applyInPandas(_search, _FOUND), "passages-found")
-    left = found.select(
-        "id", "content", F.explode(F.arrays_zip("at", "h1", "h2")).alias("w")
-    ).select("id", "content", "w.*")
+    left = found.where("h1 IS NOT NULL")
     among = left.groupBy("h1", "h2").agg(F.min("id").alias("first"), F.max("id").alias("last"))
     among = stage(among.where("first < last").drop("last"), "windows-left")
     later = left.join(among, ["h1", "h2"]).where("id > first")
-    ranges = found.where(F.size("starts") > 0).select(
-        "id", "content", F.explode(F.arrays_zip("starts", "ends")).alias("r")
-    )
-    ranges = ranges.union(
-        later.select(
-            "id",
-            "content",
-            F.struct(F.col("at").alias("starts"), (F.col("at") + WINDOW).alias("ends")),
-        )
-    )
-    return ranges.groupBy("id", "content").agg(F.collect_list("r").alias("r")).selectExpr(
-        "id", "content", "r.starts AS starts", "r.ends AS ends"
+    columns = ("id", "content", "starts", "ends")
+    ranges = found.where("h1 IS NULL").select(*columns).union(later.select(*columns))
+    listed = ranges.groupBy("id", "content").agg(
+        F.collect_list(F.struct("starts", "ends")).alias("r")
     )
+    return listed.selectExpr("id", "content", "r.starts AS starts", "r.ends AS ends")
 
 
 def dedup_substrings(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:

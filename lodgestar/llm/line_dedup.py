@@ -2,38 +2,60 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pyarrow as pa
+import xxhash
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
+from lodgestar.llm.text import by_batch
 from lodgestar.session import stage
 
 LINES = 3
 
 
-def _lines(text: Column) -> Column:
+def split_lines(text: str | None) -> list[str]:
     """Lines of a text; none for null and for the empty text."""
-    return F.when(F.length(text) > 0, F.split(text, "\n")).otherwise(F.array().cast("array<string>"))
+    return text.split("\n") if text else []
 
 
-def _windows(lines: Column) -> Column:
-    """Position and 128-bit hash of each window that holds more than white space."""
-    starts = F.when(
-        F.size(lines) >= LINES, F.sequence(F.lit(0), F.size(lines) - LINES)
-    ).otherwise(F.array().cast("array<int>"))
+def window_hashes(lines: list[str]) -> list[tuple[int, bytes]]:
+    """Position and 128-bit hash of each window that holds more than spaces."""
+    found = []
+    for at in range(len(lines) - LINES + 1):
+        own = lines[at : at + LINES]
+        if any(line.strip(" ") for line in own):
+            # Lines hold no line feed, so the joined window is unambiguous.
+            found.append((at, xxhash.xxh3_128_digest("\n".join(own).encode())))
+    return found
 
-    def window(start: Column) -> Column:
-        own = [F.get(lines, start + i) for i in range(LINES)]
-        blank = F.length(F.trim(F.concat(*own))) == 0
-        return F.when(
-            ~blank,
-            F.struct(
-                start.alias("at"),
-                F.xxhash64(*own).alias("h1"),
-                F.xxhash64(F.lit(LINES), *own).alias("h2"),
-            ),
-        )
 
-    return F.filter(F.transform(starts, window), lambda w: w.isNotNull())
+def _windows(docs: DataFrame, key: str, text: str) -> DataFrame:
+    names = ("id", "content", "at", "h1", "h2")
+
+    def handle(rows: dict[str, list]) -> dict[str, list]:
+        out: dict[str, list] = {name: [] for name in names[:3]}
+        digests = []
+        for doc, content, body in zip(rows["id"], rows["content"], rows["text"], strict=True):
+            found = window_hashes(split_lines(body))
+            out["id"] += [doc] * len(found)
+            out["content"] += [content] * len(found)
+            out["at"] += [at for at, _ in found]
+            digests += [digest for _, digest in found]
+        halves = np.frombuffer(b"".join(digests), dtype="<i8").reshape(-1, 2)
+        return {**out, "h1": halves[:, 0], "h2": halves[:, 1]}
+
+    narrow = docs.select(
+        F.col(key).cast("long").alias("id"),
+        F.xxhash64(text).alias("content"),
+        F.col(text).alias("text"),
+    )
+    schema = pa.schema([(name, pa.int64()) for name in names])
+    rows = narrow.mapInArrow(
+        by_batch(handle, schema), "id long, content long, at long, h1 long, h2 long"
+    )
+    return rows.select(F.struct("id", "content").alias("own"), "at", "h1", "h2")
 
 
 def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -50,10 +72,7 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     """
     docs = docs.drop("n_lines", "n_removed", "kept_text")
     content = F.xxhash64(F.col(text))
-    own = F.struct(F.col(key).alias("id"), content.alias("content"))
-    windows = docs.select(
-        own.alias("own"), F.explode(_windows(_lines(F.col(text)))).alias("w")
-    ).select("own", "w.*")
+    windows = _windows(docs, key, text)
     first = windows.groupBy("h1", "h2").agg(
         F.min(F.struct("own", "at")).alias("first"), F.count("*").alias("n")
     )
@@ -70,21 +89,22 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     joined = docs.join(
         covered, F.col(key).eqNullSafe(F.col("id_")) & (content == F.col("content_")), "left"
     )
-    lines = _lines(F.col(text))
-    gone = F.array_distinct(
-        F.flatten(F.transform("starts", lambda s: F.sequence(s, s + LINES - 1)))
-    )
-    # Positions outside the removed ones, in order: linear, unlike a membership test per line.
-    left = F.array_sort(
-        F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.coalesce(gone, F.array().cast("array<int>")))
-    )
-    kept = F.when(F.col("starts").isNull(), lines).otherwise(
-        F.transform(left, lambda i: F.get(lines, i))
-    )
-    n_lines = F.size(lines)
-    return joined.select(
-        *[docs[name] for name in docs.columns],
-        n_lines.cast("long").alias("n_lines"),
-        F.coalesce(F.size(gone), F.lit(0)).cast("long").alias("n_removed"),
-        F.array_join(kept, "\n").alias("kept_text"),
+    joined = joined.select(*docs.columns, "starts")
+
+    def handle(rows: dict[str, list]) -> dict[str, list]:
+        counts, removed, kept = [], [], []
+        for body, starts in zip(rows[text], rows.pop("starts"), strict=True):
+            lines = split_lines(body)
+            gone = {start + i for start in starts or () for i in range(LINES)}
+            counts.append(len(lines))
+            removed.append(len(gone))
+            kept.append("\n".join(line for at, line in enumerate(lines) if at not in gone))
+        return {**rows, "n_lines": counts, "n_removed": removed, "kept_text": kept}
+
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
+    schema = to_arrow_schema(docs.schema)
+    for name, kind in (("n_lines", pa.int64()), ("n_removed", pa.int64()), ("kept_text", pa.string())):
+        schema = schema.append(pa.field(name, kind))
+    return joined.mapInArrow(
+        by_batch(handle, schema), fields + ", n_lines long, n_removed long, kept_text string"
     )

@@ -17,7 +17,8 @@ COMMON = 5
 
 _CANDIDATE = r"[A-Za-z0-9_\-+/]{16,}"
 # The word before, or the name of an assignment, then the candidate.
-_WITH_CONTEXT = rf"(?:[^\s=:]+\s*[=:]\s*|\S+\s+)?[\"']?{_CANDIDATE}"
+# Starts at a word and never steps back within one, so a text is read about once.
+_WITH_CONTEXT = rf"(?<!\S)(?:[^\s=:]++\s*+[=:]\s*+|\S++\s++)?[\"']?{_CANDIDATE}"
 _KEYWORD = r"token|secret|passw|api[_-]?key|auth|credential"
 
 FEATURES = [
@@ -138,7 +139,8 @@ def scan(
     Without both labels nothing is a finding.
     """
     words = stage(dictionary(docs, text), "secret-dictionary")
-    found = stage(features(candidates(docs, key, text), words), "secret-candidates")
+    found = stage(candidates(docs, key, text), "secret-candidates")
+    found = stage(features(found, words), "secret-features")
     known = labelled(found) if findings is None else features(findings, words)
     model = fit(known)
     if model is None:

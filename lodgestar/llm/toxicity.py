@@ -38,6 +38,8 @@ LEAST = 0.02
 CLEAR = 0.8
 #: Weight of an example with an inserted letter.
 SPOILT = 0.1
+#: Weight of a sentence without words, as a share of all sentences.
+BLANK = 0.1
 #: Labelled documents of each class that are learned from, and their greatest length.
 SAMPLE, SAMPLE_CHARS = 1_500, 20_000
 #: Longer strings are cut into windows of this length that overlap by half.
@@ -223,7 +225,7 @@ def _parts(word: str) -> set[str]:
 
 
 def _apart(part: str, held: Counter, against: Counter, n: list[int]) -> bool:
-    return held[part] / n[1] > APART * (against[part] + 1) / n[0]
+    return held[part] / n[1] > APART * (against[part] + 0.5) / n[0]
 
 
 def choose_landmarks(texts: list[str], toxic: list[int]) -> list[str]:
@@ -315,11 +317,14 @@ def train(texts: list[str], toxic: list[int], share: float = 0.5) -> Model:
     Of a toxic document, the sentences with a clear landmark are examples, also with a letter
     inserted, and the one that looks worst, chosen again after each round. All sentences of the
     other documents are counterexamples. ``share`` is that of toxic documents among all, to which
-    the probabilities are fitted. Without both classes everything scores 0.
+    the probabilities are fitted. Without both classes, or without a
+    telling landmark, everything scores 0.
     """
     if not any(toxic) or all(toxic):
         return Model([], np.zeros(0), 0.0, 0.0, -30.0)
     landmarks = choose_landmarks(texts, toxic)
+    if len(landmarks) <= ORDINARY:  # nothing sets toxic documents apart
+        return Model([], np.zeros(0), 0.0, 0.0, -30.0)
     turn = _nystroem(landmarks)
     parts = [sentences(t) or [[]] for t in texts]
     owner = np.repeat(np.arange(len(parts)), [len(p) for p in parts])
@@ -340,9 +345,12 @@ def train(texts: list[str], toxic: list[int], share: float = 0.5) -> Model:
         example = ((worst >= top[owner]) & (y[owner] == 1)) | clear
         rows = example | (y[owner] == 0)
         w = _linear_svm(
-            np.vstack([mapped[rows], spoilt]),
-            np.concatenate([example[rows].astype(int), np.ones(len(spoilt), int)]),
-            np.concatenate([np.ones(rows.sum()), np.full(len(spoilt), SPOILT)]),
+            # The last row is a sentence without words: not toxic, whatever clean texts share.
+            np.vstack([mapped[rows], spoilt, np.zeros((1, mapped.shape[1]))]),
+            np.concatenate([example[rows].astype(int), np.ones(len(spoilt), int), [0]]),
+            np.concatenate(
+                [np.ones(rows.sum()), np.full(len(spoilt), SPOILT), [BLANK * rows.sum()]]
+            ),
         )
         worst = mapped @ w[:-1] + w[-1]
     margin = np.maximum.reduceat(worst, starts)
@@ -357,12 +365,19 @@ def _linear_scale(margin: np.ndarray, y: np.ndarray, share: float) -> tuple[floa
     weight = len(y) * np.where(y == 1, share / max(1, y.sum()), (1 - share) / (y == 0).sum())
     x = np.stack([margin, np.ones_like(margin)], axis=1)
     w = np.zeros(2)
+
+    def loss(v: np.ndarray) -> float:
+        z = x @ v
+        return (weight * (np.logaddexp(0, z) - target * z)).sum() + 5e-4 * (v * v).sum()
+
     for _ in range(100):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
         slope = x.T @ (weight * (p - target)) + 1e-3 * w
         curve = (x.T * (weight * p * (1 - p) + 1e-9)) @ x + 1e-3 * np.eye(2)
         step = np.linalg.solve(curve, slope)
-        w -= np.clip(step, -5, 5)
+        while loss(w - step) > loss(w) and np.abs(step).max() > 1e-9:
+            step = step / 2
+        w = w - step
         if np.abs(step).max() < 1e-9:
             break
     return float(w[0]), float(w[1])

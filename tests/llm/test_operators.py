@@ -271,7 +271,12 @@ def test_histogram_packs_all_pieces():
 
 
 def test_toxicity_finds_spoilt_insults():
-    calm = [f"the ordinary sentence number {i} speaks of gardens and rivers." for i in range(60)]
+    # The same frames, so that only the insults set the classes apart.
+    names = ("gardener", "river", "teacher", "window", "mountain", "sailor")
+    calm = [
+        f"you are such a {names[i % 6]} {i} again." if i % 2 else f"what a {names[i % 6]} {i}."
+        for i in range(60)
+    ]
     rude = [f"you are such a blockhead {i} again." if i % 2 else f"what a nitwit {i}." for i in range(60)]
     model = toxicity.train(calm + rude, [0] * 60 + [1] * 60)
     features = toxicity.featurizer(model.landmarks)

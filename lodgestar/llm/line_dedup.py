@@ -86,8 +86,9 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     covered = stage(covered, "covered-lines").select(
         F.col("own.id").alias("id_"), F.col("own.content").alias("content_"), "starts"
     )
+    # What is covered grows with the corpus: never broadcast, so the plan is the same at every size.
     joined = docs.join(
-        covered, F.col(key).eqNullSafe(F.col("id_")) & (content == F.col("content_")), "left"
+        covered.hint("merge"), F.col(key).eqNullSafe(F.col("id_")) & (content == F.col("content_")), "left"
     )
     joined = joined.select(*docs.columns, "starts")
 

@@ -19,6 +19,8 @@ _CANDIDATE = r"[A-Za-z0-9_\-+/]{16,}"
 # The word before, or the name of an assignment, then the candidate.
 # Starts at a word and never steps back within one, so a text is read about once.
 _WITH_CONTEXT = rf"(?<!\S)(?:[^\s=:]++\s*+[=:]\s*+|\S++\s++)?[\"']?{_CANDIDATE}"
+# Quotes, signs and spaces before a candidate are no key characters, so each run is tried once.
+_AT_END = rf"(?<![A-Za-z0-9_\-+/])({_CANDIDATE}+)$"
 _KEYWORD = r"token|secret|passw|api[_-]?key|auth|credential"
 
 FEATURES = [
@@ -43,13 +45,12 @@ def candidates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
     """
     found = F.regexp_extract_all(F.col(text), F.lit(f"({_WITH_CONTEXT})"), 1)
     rows = docs.select(key, F.posexplode(found).alias("number", "found"))
-    candidate = F.regexp_extract("found", f"({_CANDIDATE})$", 1)
+    candidate = F.regexp_extract("found", _AT_END, 1)
     return rows.select(
         key,
         "number",
         candidate.alias("candidate"),
-        F.lower(F.expr("left(found, length(found) - length(regexp_extract(found, "
-                       f"r'({_CANDIDATE})$', 1)))")).alias("before"),
+        F.lower(F.left("found", F.length("found") - F.length(candidate))).alias("before"),
     )
 
 

@@ -62,7 +62,9 @@ def main(arguments: list[str] | None = None) -> None:
         result = analyses.avg_price_by_month(star, args.city, args.months)
     else:
         result = analyses.top_hosts(star, args.city, args.min_reviews, args.k)
-    result.show(10_000, truncate=False)
+    print(*result.columns, sep="\t")
+    for row in result.toLocalIterator():
+        print(*row, sep="\t")
 
 
 if __name__ == "__main__":

@@ -28,14 +28,6 @@ REQUIRED_LISTING_FIELDS = [name for name, (_, required) in LISTING_FIELDS.items(
 
 CALENDAR_FIELDS = ["listing_id", "date", "available", "price"]
 
-LEXICON_SCHEMA = T.StructType(
-    [
-        T.StructField("word", T.StringType(), False),
-        T.StructField("positive", T.IntegerType(), False),
-        T.StructField("negative", T.IntegerType(), False),
-    ]
-)
-
 # Warehouse tables: name -> ordered (column, SQL type). Inserts are by position.
 WAREHOUSE_TABLES: dict[str, list[tuple[str, str]]] = {
     "dim_room_type": [("room_type", "string")],

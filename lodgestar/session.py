@@ -10,8 +10,8 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
-# Runtime re-planning does the sizing: start with many small shuffle partitions, let AQE merge
-# them, split a partition that one hot key has filled, and turn a join into a broadcast join only
+# Runtime re-planning does the sizing: AQE merges small shuffle partitions,
+# splits a partition that one hot key has filled, and turns a join into a broadcast join only
 # once the measured side is below the threshold.
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -16,8 +17,14 @@ def read_named_csv(
     doubled quotes, with ``multi_line`` newlines too; such files cannot be split, so a large
     multi-line input should come as a folder of many files.
     """
+    if not isinstance(paths, str):
+        # Each path has its own header; one read would bind all files by the first.
+        parts = [read_named_csv(spark, p, columns, multi_line=multi_line) for p in paths]
+        return reduce(DataFrame.unionByName, parts)
     raw = (
         spark.read.option("header", True)
+        # Files of one folder share their header; one that differs fails the job.
+        .option("enforceSchema", False)
         .option("inferSchema", False)
         .option("multiLine", multi_line)
         .option("quote", '"')

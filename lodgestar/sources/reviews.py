@@ -9,38 +9,41 @@ from lodgestar.functions import parsing
 from lodgestar.sources.splits import spread
 
 
-def _pieces(spark: SparkSession, paths: str | list[str], mode: str, on_open: str) -> DataFrame:
+def _pieces(spark: SparkSession, paths: str | list[str], mode: str) -> DataFrame:
     """Text pieces to search for records, column ``value``.
 
     ``split``: the reader cuts the files at line starts with the record prefix, so one large file
     is read by many tasks. A quoted comment that itself has such a line would be cut; its piece
-    then has an unclosed quote, which fails the job (``on_open="fail"``) instead of giving other
-    records than a search of the whole file would.
+    then has an unclosed quote, which fails the job instead of giving other records than a search
+    of the whole file would. The first piece of a file had no separator before it and stays as it
+    is: it is told by the smallest row id in the file's first block, one row per file.
 
     ``whole``: each file is one piece, exact for any text, at most 2 GB per file.
     """
-    if on_open not in ("fail", "keep"):
-        raise ValueError(f"on_open must be 'fail' or 'keep', not {on_open!r}")
     if mode == "whole":
         return spark.read.text(paths, wholetext=True)
     if mode != "split":
         raise ValueError(f"mode must be 'split' or 'whole', not {mode!r}")
-    pieces = spark.read.text(paths, lineSep=f"\n{parsing.REVIEW_PREFIX}")
-    # The separator is gone from every piece but the first of a file.
-    value = F.when(F.col("value").startswith(parsing.REVIEW_PREFIX), F.col("value")).otherwise(
+    cut = spark.read.text(paths, lineSep=f"\n{parsing.REVIEW_PREFIX}").select(
+        "value",
+        F.monotonically_increasing_id().alias("at"),
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+    )
+    heads = cut.where("block = 0").groupBy("file").agg(F.min("at").alias("at"))
+    heads = heads.withColumn("head", F.lit(True))
+    value = F.when(F.col("head"), F.col("value")).otherwise(
         F.concat(F.lit(parsing.REVIEW_PREFIX), F.col("value"))
     )
-    pieces = pieces.select(value.alias("value"))
-    if on_open == "fail":
-        error = F.raise_error(
-            F.concat(
-                F.lit("comment not closed, read this input with mode='whole': "),
-                F.substring("value", 1, 80),
-            )
+    pieces = cut.join(heads, ["file", "at"], "left").select(value.alias("value"))
+    error = F.raise_error(
+        F.concat(
+            F.lit("comment not closed, read this input with mode='whole': "),
+            F.substring("value", 1, 80),
         )
-        checked = F.when(parsing.has_open_comment(F.col("value")), error).otherwise(F.col("value"))
-        pieces = pieces.select(checked.alias("value"))
-    return pieces
+    )
+    checked = F.when(parsing.has_open_comment(F.col("value")), error).otherwise(F.col("value"))
+    return pieces.select(checked.alias("value"))
 
 
 def _records(pieces: DataFrame) -> DataFrame:
@@ -68,18 +71,17 @@ def read_reviews(
     *,
     mode: str = "split",
     on_error: str = "fail",
-    on_open: str = "fail",
 ) -> DataFrame:
     """Reviews of all inputs in one scan; see ``_pieces`` for the two ways to cut the text."""
-    reviews = parse_reviews(_pieces(spark, paths, mode, on_open), on_error=on_error)
+    reviews = parse_reviews(_pieces(spark, paths, mode), on_error=on_error)
     return spread(reviews, "review_id") if mode == "whole" else reviews
 
 
 def rejected_review_rows(
-    spark: SparkSession, paths: str | list[str], *, mode: str = "split", on_open: str = "fail"
+    spark: SparkSession, paths: str | list[str], *, mode: str = "split"
 ) -> DataFrame:
     """Records that match the pattern but hold no valid listing id or date (raw strings)."""
-    records = _records(_pieces(spark, paths, mode, on_open)).select(
+    records = _records(_pieces(spark, paths, mode)).select(
         F.col("field")[0].alias("listing_id"),
         F.col("field")[1].alias("date"),
         F.col("field")[2].alias("comment"),

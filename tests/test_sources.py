@@ -154,8 +154,23 @@ def test_cut_comment_fails_instead_of_differing(spark, tmp_path):
         (2, '"a quote\nReview of the flat: fine"'),
         (3, "next"),
     ]
-    kept = read_reviews(spark, path, on_open="keep")
-    assert rows(kept, "listing_id", "comment") == [(3, "next")]
+
+
+def test_first_piece_of_a_file_gets_no_prefix(spark, tmp_path):
+    text = "11 for listing 22 by bob on 2018-01-02:tail\nReview 2 for listing 3 x 2018-01-02:next\n"
+    paths = [write(tmp_path / name, text) for name in ("a.txt", "b.txt")]
+    for mode in ("split", "whole"):
+        found = read_reviews(spark, paths, mode=mode)
+        assert rows(found, "listing_id", "comment") == [(3, "next")] * 2
+
+
+def test_calendar_files_bind_by_their_own_header(spark, tmp_path):
+    first = write(tmp_path / "a.csv", 'listing_id,date,available,price\n1,2018-01-01,t,"$7.00"\n')
+    second = write(tmp_path / "b.csv", 'price,available,date,listing_id\n"$8.00",t,2018-01-02,2\n')
+    both = read_calendar(spark, [first, second])
+    assert rows(both, "listing_id", "available", "price") == [(1, True, 7.0), (2, True, 8.0)]
+    with pytest.raises(Exception, match="header does not conform"):
+        read_calendar(spark, str(tmp_path)).collect()
 
 
 piece = st.sampled_from(

@@ -60,7 +60,7 @@ def combine_days(
     """Measures per listing, attributes and date.
 
     Both day frames come out of an aggregation on (listing_id, date), so their join needs no
-    further shuffle. Without a calendar row the listing counts as available at its own price; with
+    further shuffle, unless they were staged as files first. Without a calendar row the listing counts as available at its own price; with
     one, the calendar decides, and its missing price stays missing.
     """
     joined = review_day.join(calendar_day, ["listing_id", "date"], "left").join(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -66,17 +67,12 @@ def avg_price_by_month(
     return _of_city(_by_room_type(star, "month", price, values, months), city)
 
 
-def host_ratings(star: Star) -> DataFrame:
-    """Per city, group, year and host: avg_rating (two decimals) and number_of_reviews.
+def _host_facts(star: Star) -> DataFrame:
+    return join_date(join_neighbourhood(star.fact, star), star).where(F.col("host_id").isNotNull())
 
-    Facts are summed per host id first, so that a large host dimension is joined with sums, not
-    with facts. The noise of summing doubles in any order is cut off before the two decimals are
-    taken, so that a tie is rounded up in every run.
-    """
-    facts = join_date(join_neighbourhood(star.fact, star), star).where(
-        F.col("host_id").isNotNull()
-    )
-    sums = facts.groupBy("city", "group", "year", "host_id").agg(
+
+def _rated_hosts(host_facts: DataFrame, star: Star) -> DataFrame:
+    sums = host_facts.groupBy("city", "group", "year", "host_id").agg(
         F.sum("ratings_sum").alias("ratings_sum"), F.sum(review_count()).alias("reviews")
     )
     return join_host(sums, star).select(
@@ -90,21 +86,50 @@ def host_ratings(star: Star) -> DataFrame:
     )
 
 
+def host_ratings(star: Star) -> DataFrame:
+    """Per city, group, year and host: avg_rating (two decimals) and number_of_reviews.
+
+    Facts are summed per host id first, so that a large host dimension is joined with sums, not
+    with facts. The noise of summing doubles in any order is cut off before the two decimals are
+    taken, so that a tie is rounded up in every run.
+    """
+    return _rated_hosts(_host_facts(star), star)
+
+
 def latest_year_hosts(
     star: Star, city: str | None = None, min_reviews: int = MIN_REVIEWS
 ) -> DataFrame:
     """Hosts with more than ``min_reviews`` reviews in their city's latest year.
 
-    The latest year is a subquery or a join inside the plan; nothing is fetched to the driver.
+    The latest year comes from few columns of the facts, before any host is rated: of each city's
+    hosts in the dimension, their last year. It is a subquery or a join inside the plan; nothing
+    is fetched to the driver.
     """
-    rated = host_ratings(star)
+    host_facts = _host_facts(star)
+    if city is not None:
+        host_facts = host_facts.where(F.col("city") == city)
+    last = host_facts.groupBy("city", "host_id").agg(F.max("year").alias("year"))
+    latest = join_host(last, star).groupBy("city").agg(F.max("year").alias("year"))
     if city is None:
-        latest = rated.groupBy("city").agg(F.max("year").alias("year"))
-        rated = rated.join(latest, ["city", "year"])
+        host_facts = host_facts.join(latest, ["city", "year"])
     else:
-        rated = rated.where(F.col("city") == city)
-        rated = rated.where(F.col("year") == rated.agg(F.max("year")).scalar())
-    return rated.where(F.col("number_of_reviews") > min_reviews)
+        host_facts = host_facts.where(F.col("year") == latest.agg(F.max("year")).scalar())
+    return _rated_hosts(host_facts, star).where(F.col("number_of_reviews") > min_reviews)
+
+
+#: Rank of hosts: column, and whether large values come first.
+HOST_ORDER = {"avg_rating": True, "number_of_reviews": False, "id": False}
+#: Result columns after the city, and what they are called in the ratings.
+HOST_COLUMNS = {
+    "neighbourhood": "group",
+    "name": "name",
+    "avg_rating": "avg_rating",
+    "number_of_reviews": "number_of_reviews",
+}
+
+
+def _host_columns(city: str | None) -> dict[str, str]:
+    return HOST_COLUMNS if city is not None else {"city": "city", **HOST_COLUMNS}
 
 
 def top_hosts(
@@ -115,32 +140,35 @@ def top_hosts(
     At equal rating fewer reviews rank first, then the smaller host id.
     """
     hosts = latest_year_hosts(star, city, min_reviews)
-    order = [F.desc("avg_rating"), F.asc("number_of_reviews"), F.asc("id")]
+    order = [F.desc(name) if down else F.asc(name) for name, down in HOST_ORDER.items()]
     best = top_k_per_group(hosts, ["city", "group"], order, k)
-    columns = [F.col("group").alias("neighbourhood"), "name", "avg_rating", "number_of_reviews"]
-    if city is None:
-        columns.insert(0, "city")
+    columns = [F.col(source).alias(name) for name, source in _host_columns(city).items()]
     return best.select(*columns).orderBy(F.desc("neighbourhood"))
 
 
 def top_hosts_sql(
     spark: SparkSession,
     star: Star,
-    city: str,
+    city: str | None = None,
     min_reviews: int = MIN_REVIEWS,
     k: int = BEST_HOSTS,
-    view: str = "emp",
 ) -> DataFrame:
-    """``top_hosts`` of one city in SQL over a temp view."""
-    latest_year_hosts(star, city, min_reviews).drop("city").createOrReplaceTempView(view)
-    return spark.sql(
+    """``top_hosts`` as a SQL statement over a temp view, whose name is new in every call."""
+    view = f"rated_hosts_{uuid.uuid4().hex}"
+    latest_year_hosts(star, city, min_reviews).createOrReplaceTempView(view)
+    rank = ", ".join(f"{name} {'DESC' if down else 'ASC'}" for name, down in HOST_ORDER.items())
+    columns = ", ".join(f"`{source}` AS {name}" for name, source in _host_columns(city).items())
+    best = spark.sql(
         f"""
-        SELECT `group` AS neighbourhood, name, avg_rating, number_of_reviews
-        FROM (
-            SELECT *, row_number() OVER (
-                PARTITION BY `group` ORDER BY avg_rating DESC, number_of_reviews, id) AS rn
-            FROM `{view}`)
-        WHERE rn <= {int(k)}
-        ORDER BY neighbourhood DESC
-        """
+        WITH placed AS (
+            SELECT *, row_number() OVER hosts_of_group AS place
+            FROM {view}
+            WINDOW hosts_of_group AS (PARTITION BY city, `group` ORDER BY {rank})
+        )
+        SELECT {columns} FROM placed WHERE place <= :k ORDER BY neighbourhood DESC
+        """,
+        args={"k": k},
     )
+    best.columns  # resolves the statement, so that the view is no longer needed
+    spark.catalog.dropTempView(view)
+    return best

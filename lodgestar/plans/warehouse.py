@@ -114,7 +114,9 @@ def load_warehouse(
     """Fill the dimensions and the fact table.
 
     Listings are staged as parsed, reviews and calendar as sums per listing and date: that is all
-    the dates and the facts need, and much less than the raw text.
+    the dates and the facts need, and much less than the raw text. Reviews and calendar rows whose
+    listing or date could not be read (lenient inputs) have no key and are left out of dates and
+    facts; the ``rejected_*_rows`` functions list them.
     """
     columns = (
         "id",
@@ -128,12 +130,13 @@ def load_warehouse(
         "number_of_reviews",
     )
     # Once written, the lexicon's measured size decides whether it is broadcast.
-    rated = rate_reviews(inputs.reviews, stage(inputs.lexicon, "lexicon"))
+    keyed = "listing_id IS NOT NULL AND date IS NOT NULL"
+    rated = rate_reviews(inputs.reviews.where(keyed), stage(inputs.lexicon, "lexicon"))
     listings, review_day, calendar_day = run_together(
         spark,
         partial(stage, inputs.listings.select(*columns), "listings"),
         partial(stage, facts.review_days(rated), "review-days"),
-        partial(stage, facts.calendar_days(inputs.calendar), "calendar-days"),
+        partial(stage, facts.calendar_days(inputs.calendar.where(keyed)), "calendar-days"),
     )
     dates = dimensions.dim_date(calendar_day, review_day)
     tables = {

@@ -10,8 +10,7 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
-# Runtime re-planning does the sizing: AQE merges small shuffle partitions,
-# splits a partition that one hot key has filled, and turns a join into a broadcast join only
+# AQE merges small shuffle partitions, splits a partition that one hot key has filled, and turns a join into a broadcast join only
 # once the measured side is below the threshold.
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
@@ -35,11 +34,6 @@ def build_session(app_name: str, master: str | None = None, **conf: str) -> Spar
     return builder.getOrCreate()
 
 
-def shuffle_partitions_for(input_bytes: int, target_bytes: int = 128 << 20, minimum: int = 8) -> int:
-    """Shuffle partition count that keeps one partition near ``target_bytes``."""
-    return max(minimum, -(-input_bytes // target_bytes))
-
-
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path below the shared folder named by ``spark.checkpoint.dir``.
 

@@ -21,7 +21,7 @@ class RawLayout:
     def _paths(self, pattern: str) -> dict[str, str]:
         root = self.root.rstrip("/")
         return {
-            city: f"{root}/{pattern.format(City=city.capitalize(), CITY=city)}"
+            city: f"{root}/{pattern.format(City=city.title(), CITY=city)}"
             for city in self.cities
         }
 

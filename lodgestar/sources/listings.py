@@ -55,13 +55,18 @@ def required_field_nulls(listings: DataFrame) -> DataFrame:
 
 
 def check_required(listings: DataFrame) -> DataFrame:
-    """Same rows; a null in a required field fails the job when that field is used."""
-
-    def checked(name: str) -> Column:
-        value = F.col(name)
-        error = F.raise_error(F.lit(f"listing without {name}"))
-        return F.when(value.isNull(), error).otherwise(value).alias(name)
-
-    return listings.select(
-        *[checked(c) if c in REQUIRED_LISTING_FIELDS else F.col(c) for c in listings.columns]
-    )
+    """Same rows; a null in a required field, or a value that does not fit its type, fails the job.
+
+    The check of the whole row is tied to ``id``, so it holds wherever the id is read, also if
+    other fields are not used.
+    """
+    absent = [F.when(F.col(c).isNull(), F.lit(c)) for c in REQUIRED_LISTING_FIELDS]
+    # Fields that may be null are read as well, since a strict cast fails only when it is read.
+    read = [
+        F.when(F.col(c).isNull() & F.col("id").isNull(), F.lit("id"))
+        for c in listings.columns
+        if c not in REQUIRED_LISTING_FIELDS
+    ]
+    missing = F.coalesce(*absent, *read)
+    error = F.raise_error(F.concat(F.lit("listing without "), missing))
+    return listings.withColumn("id", F.when(missing.isNotNull(), error).otherwise(F.col("id")))

@@ -71,10 +71,14 @@ def read_reviews(
     *,
     mode: str = "split",
     on_error: str = "fail",
+    partitions: int | None = None,
 ) -> DataFrame:
-    """Reviews of all inputs in one scan; see ``_pieces`` for the two ways to cut the text."""
+    """Reviews of all inputs in one scan; see ``_pieces`` for the two ways to cut the text.
+
+    ``partitions`` moves the reviews to so many tasks, for few large files read as a whole.
+    """
     reviews = parse_reviews(_pieces(spark, paths, mode), on_error=on_error)
-    return spread(reviews, "review_id") if mode == "whole" else reviews
+    return spread(reviews, partitions, "review_id")
 
 
 def rejected_review_rows(

@@ -5,11 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 
-def spread(scan: DataFrame, *keys: str) -> DataFrame:
-    """Rows of a scan, moved by key to all task slots where the scan has fewer splits than slots.
+def spread(rows: DataFrame, partitions: int | None, *keys: str) -> DataFrame:
+    """``rows`` moved by key to ``partitions`` tasks before costly work per row.
 
-    For unsplittable files (whole texts, one large row group) before costly work per row. An input
-    of many splits, the normal case, is returned as it is. ``scan`` must hold no shuffle.
+    For unsplittable files (whole texts, one large row group). The plan depends on ``partitions``
+    alone, never on the machine or the input; None leaves the rows where they were read.
     """
-    slots = scan.sparkSession.sparkContext.defaultParallelism
-    return scan if scan.rdd.getNumPartitions() >= slots else scan.repartition(slots, *keys)
+    return rows if partitions is None else rows.repartition(partitions, *keys)

@@ -106,8 +106,10 @@ def test_top_hosts_of_all_cities_use_each_city_s_latest_year(star):
 
 def test_sql_form_gives_the_same(spark, star):
     in_sql = analyses.top_hosts_sql(spark, star, "BERLIN")
+    everywhere = analyses.top_hosts_sql(spark, star, k=1)
     assert in_sql.collect() == analyses.top_hosts(star, "BERLIN").collect()
-    assert spark.catalog.dropTempView("emp")
+    assert rows(everywhere) == rows(analyses.top_hosts(star, k=1))
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("rated_hosts_")]
 
 
 def test_unknown_city_gives_no_rows(star):

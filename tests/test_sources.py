@@ -5,6 +5,7 @@ from conftest import rows
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
 
 from lodgestar.sources import (
     RawLayout,
@@ -78,7 +79,7 @@ def test_bad_listing_values(spark, tmp_path):
     assert (nulls["rows"], nulls["price"], nulls["host_id"]) == (3, 2, 0)
     with pytest.raises(PySparkException, match="listing without price"):
         check_required(lenient).collect()
-    # As long as the field is not used, its nulls do not matter.
+    # A mere count reads no field, so it checks none.
     assert check_required(lenient).select("id").count() == 3
 
 
@@ -232,7 +233,28 @@ def test_lexicon(spark, tmp_path):
     assert ("kategorie", 1, 0) in rows(read_lexicon(spark, positive, negative, normalize=True))
 
 
-def test_spread_only_moves_inputs_of_few_splits(spark):
+def test_spread_moves_rows_as_told(spark):
     few, many = spark.range(100, numPartitions=1), spark.range(100, numPartitions=9)
-    assert spread(few, "id").rdd.getNumPartitions() == 8
-    assert spread(many, "id") is many
+    for frame in (few, many):
+        assert spread(frame, 8, "id").rdd.getNumPartitions() == 8
+        assert spread(frame, None, "id") is frame
+
+
+def test_strict_listings_fail_on_any_bad_field(spark):
+    from lodgestar.schemas import LISTING_FIELDS
+
+    good = {name: "1" for name in LISTING_FIELDS}
+
+    def ids(row):
+        raw = spark.createDataFrame([row], ", ".join(f"{name} string" for name in good))
+        typed = raw.select(*[F.col(n).cast(kind).alias(n) for n, (kind, _) in LISTING_FIELDS.items()])
+        return check_required(typed).select("id").collect()
+
+    assert ids(good) == [(1,)]
+    for name, (kind, needed) in LISTING_FIELDS.items():
+        if needed:
+            with pytest.raises(Exception, match=f"listing without {name}"):
+                ids({**good, name: None})
+        if kind.simpleString() != "string":
+            with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+                ids({**good, name: "abc"})

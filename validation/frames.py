@@ -19,12 +19,7 @@ from lodgestar.operators.sentiment import rate_texts
 from lodgestar.operators.star import Star
 from lodgestar.plans.warehouse import create_warehouse, insert_rows
 from lodgestar.session import scratch_path, stage
-from lodgestar.sources import lexicon_from_words, spread
-
-# The market segments of the customer table.
-ROOM_TYPES = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
-CITIES = ("AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST")
-
+from lodgestar.sources import lexicon_from_words
 
 # Application and folder of tables -> database with their warehouse.
 _warehouses: dict[tuple[str, str], str] = {}
@@ -77,6 +72,11 @@ class Frames:
             "r_name AS city",
         )
 
+    @cached_property
+    def cities(self) -> list[str]:
+        """Cities of the listings, one input path each."""
+        return sorted(row[0] for row in self.listings.select("city").distinct().collect())
+
     @cached_property
     def lexicon(self) -> DataFrame:
         """Benchmark words of more than 3 characters: even length positive, else negative.
@@ -97,7 +97,7 @@ class Frames:
 
     @cached_property
     def rated_documents(self) -> DataFrame:
-        documents = spread(self.table("documents").select("doc_id", "text"), "doc_id")
+        documents = self.table("documents").select("doc_id", "text").repartition("doc_id")
         return rate_texts(documents, self.lexicon, key="doc_id", text="text")
 
     @cached_property
@@ -167,21 +167,20 @@ class Frames:
 
     @cached_property
     def review_records(self) -> DataFrame:
-        """One text record per document whose number is an order: quoted and plain in turn."""
-        orders = self.table("orders").select("o_orderkey", "o_custkey", "o_orderdate")
+        """One text record per order with the document of its stay: quoted and plain in turn."""
         documents = self.table("documents").select("doc_id", "text")
-        joined = documents.join(orders, F.col("doc_id") == F.col("o_orderkey"))
-        quote = F.when(F.col("doc_id") % 2 == 0, F.lit('"')).otherwise(F.lit(""))
+        joined = self.stays.join(documents, "doc_id")
+        quote = F.when(F.col("review_id") % 2 == 0, F.lit('"')).otherwise(F.lit(""))
         record = F.concat(
             F.lit("Review "),
-            "doc_id",
+            "review_id",
             F.lit(" for listing "),
-            "o_custkey",
+            "listing_id",
             F.lit(" by a guest on "),
-            F.date_format("o_orderdate", "yyyy-MM-dd"),
+            F.date_format("date", "yyyy-MM-dd"),
             F.lit(":"),
             quote,
             "text",
             quote,
         )
-        return joined.select("doc_id", record.alias("value"))
+        return joined.select("review_id", record.alias("value"))

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from validation.queries import CITY, MIN_REVIEWS, MONTHS
-from validation.frames import ROOM_TYPES
+
+# Columns of the pivots; a room type missing here would differ from what the queries find.
+ROOM_TYPES = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
 
 _LISTINGS = """
 listings AS (
@@ -121,15 +123,15 @@ dim_date AS (
 
 _RECORDS = """
 records AS (
-  SELECT doc_id, o_custkey AS listing_id, CAST(o_orderdate AS DATE) AS date,
-         CASE WHEN doc_id % 2 = 0 THEN '"' || string_split(text, '"')[1] || '"'
+  SELECT o_orderkey, o_custkey AS listing_id, CAST(o_orderdate AS DATE) AS date,
+         CASE WHEN o_orderkey % 2 = 0 THEN '"' || string_split(text, '"')[1] || '"'
               ELSE string_split(text, chr(10))[1] END AS comment
-  FROM documents JOIN orders ON doc_id = o_orderkey
-  WHERE CASE WHEN doc_id % 2 = 0 THEN length(string_split(text, '"')[1]) > 0
+  FROM documents JOIN orders ON o_orderkey % (SELECT max(doc_id) + 1 FROM documents) = doc_id
+  WHERE CASE WHEN o_orderkey % 2 = 0 THEN length(string_split(text, '"')[1]) > 0
              ELSE length(string_split(text, chr(10))[1]) > 0 AND NOT starts_with(text, '"') END
 )"""
 
-_RATED_RECORDS = _rated("records", "doc_id, listing_id, date", "comment", "rated_records")
+_RATED_RECORDS = _rated("records", "o_orderkey, listing_id, date", "comment", "rated_records")
 
 _STAR = [_LISTINGS, _LEXICON, _RATED_DOCUMENTS, _RATED, _CALENDAR, _JOINED, _FACTS, _DIMENSIONS]
 
@@ -292,6 +294,10 @@ def all_oracle_sql() -> dict[str, str]:
         "reviews_by_year_city": _star(
             f"SELECT d.year, {reviews} {_FACT_STAR} WHERE n.city = '{CITY}' GROUP BY d.year"
         ),
+        "reviews_by_year_discovered": _star(
+            f"""SELECT n.city, d.year, f.room_type, CAST({_COUNT} AS BIGINT) AS reviews
+            {_FACT_STAR} GROUP BY n.city, d.year, f.room_type"""
+        ),
         "avg_price_by_month_pivot": _star(
             f"""SELECT n.city, d.month, {prices} {_FACT_STAR}
             WHERE d.month IN ({months}) GROUP BY n.city, d.month"""
@@ -307,6 +313,9 @@ def all_oracle_sql() -> dict[str, str]:
         ),
         "top_hosts_city": _with(hosts, f"{best} WHERE rn <= 2 AND city = '{CITY}'"),
         "top_hosts_sql": _with(hosts, f"{best} WHERE rn <= 2 AND city = '{CITY}'"),
+        "top_hosts_sql_all": _with(
+            hosts, best.replace("SELECT", "SELECT city,") + " WHERE rn <= 2"
+        ),
         "warehouse_roundtrip": _star(_FACT_ROWS),
         "warehouse_append": _with(
             [_LISTINGS, _CALENDAR, _DIMENSIONS],

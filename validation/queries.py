@@ -25,7 +25,7 @@ from lodgestar.sources import (
     rejected_calendar_rows,
     required_field_nulls,
 )
-from validation.frames import CITIES, ROOM_TYPES, Frames, new_database
+from validation.frames import Frames, new_database
 
 CITY = "EUROPE"
 MONTHS = [1, 6, 7, 10]
@@ -56,7 +56,7 @@ def _write_listings(frames: Frames) -> dict[str, str]:
     path = scratch_path(frames.spark, "raw-listings")
     options = {"header": True, "quote": '"', "escape": '"'}
     frames.listings.write.partitionBy("city").options(**options).csv(path)
-    return {city: f"{path}/city={city}" for city in CITIES}
+    return {city: f"{path}/city={city}" for city in frames.cities}
 
 
 def _raw_calendar(frames: Frames) -> DataFrame:
@@ -263,24 +263,32 @@ def star_joined(frames: Frames) -> DataFrame:
 
 @query
 def reviews_by_year_pivot(frames: Frames) -> DataFrame:
-    return analyses.reviews_by_year(frames.star, values=ROOM_TYPES)
+    return analyses.reviews_by_year(frames.star)
 
 
 @query
 def reviews_by_year_city(frames: Frames) -> DataFrame:
-    return analyses.reviews_by_year(frames.star, CITY, values=ROOM_TYPES)
+    return analyses.reviews_by_year(frames.star, CITY)
+
+
+@query
+def reviews_by_year_discovered(frames: Frames) -> DataFrame:
+    """The cells of the pivot over all room types in the data, as rows."""
+    table = analyses.reviews_by_year(frames.star)
+    cells = table.unpivot(["city", "year"], table.columns[2:], "room_type", "reviews")
+    return cells.where("reviews IS NOT NULL")
 
 
 @query
 def avg_price_by_month_pivot(frames: Frames) -> DataFrame:
-    prices = analyses.avg_price_by_month(frames.star, months=MONTHS, values=ROOM_TYPES)
-    return prices.select("city", "month", *[_rounded(name, 6) for name in ROOM_TYPES])
+    prices = analyses.avg_price_by_month(frames.star, months=MONTHS)
+    return prices.select("city", "month", *[_rounded(name, 6) for name in prices.columns[2:]])
 
 
 @query
 def avg_price_by_month_city(frames: Frames) -> DataFrame:
-    prices = analyses.avg_price_by_month(frames.star, CITY, MONTHS, ROOM_TYPES)
-    return prices.select("month", *[_rounded(name, 6) for name in ROOM_TYPES])
+    prices = analyses.avg_price_by_month(frames.star, CITY, MONTHS)
+    return prices.select("month", *[_rounded(name, 6) for name in prices.columns[1:]])
 
 
 @query
@@ -308,6 +316,11 @@ def top_hosts_sql(frames: Frames) -> DataFrame:
     return analyses.top_hosts_sql(frames.spark, frames.star, CITY, min_reviews=MIN_REVIEWS)
 
 
+@query
+def top_hosts_sql_all(frames: Frames) -> DataFrame:
+    return analyses.top_hosts_sql(frames.spark, frames.star, min_reviews=MIN_REVIEWS)
+
+
 # --- warehouse ----------------------------------------------------------------------------------
 
 

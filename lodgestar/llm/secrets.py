@@ -15,12 +15,14 @@ SAMPLE = 5_000
 #: A dictionary word is a run of at least four letters that occurs so often in the corpus.
 COMMON = 5
 
-_CANDIDATE = r"[A-Za-z0-9_\-+/]{16,}"
-# The word before, or the name of an assignment, then the candidate.
-# Starts at a word and never steps back within one, so a text is read about once.
-_WITH_CONTEXT = rf"(?<!\S)(?:[^\s=:]++\s*+[=:]\s*+|\S++\s++)?[\"']?{_CANDIDATE}"
-# Quotes, signs and spaces before a candidate are no key characters, so each run is tried once.
-_AT_END = rf"(?<![A-Za-z0-9_\-+/])({_CANDIDATE}+)$"
+# Each maximal run of key characters is tried once, at its start, wherever it stands.
+_RUN = r"(?<![A-Za-z0-9_\-+/])[A-Za-z0-9_\-+/]{16,}+"
+#: Characters before a candidate of which its context is read.
+CONTEXT = 64
+# The name of an assignment or the word before, then signs.
+_CONTEXT = r"((?:\S*\s*[=:]+>?\s*|\S+\s+)?[^\s\w]*)$"
+# Only an assignment's signs, so its name is the run before.
+_SIGNS = r"^[\"'`\])]*\s*[=:]+>?\s*[\"'`]?$"
 _KEYWORD = r"token|secret|passw|api[_-]?key|auth|credential"
 
 FEATURES = [
@@ -41,19 +43,33 @@ FEATURES = [
 def candidates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``(key, number, candidate, before)``: long runs of key characters and what stands before.
 
-    ``number`` counts the candidates of a text from 0. Null and empty texts have none.
+    ``number`` counts the candidates of a text from 0. Null and empty texts have none. The context
+    ends at the candidate before, which is never part of it unless it is the name assigned to.
     """
-    found = F.regexp_extract_all(F.col(text), F.lit(f"({_WITH_CONTEXT})"), 1)
-    rows = docs.select(key, F.posexplode(found).alias("number", "found"))
-    candidate = F.regexp_extract("found", _AT_END, 1)
-    return rows.select(
-        key,
-        "number",
-        candidate.alias("candidate"),
-        F.lower(F.left("found", F.length("found") - F.length(candidate))).alias("before"),
+    found = _with_context(F.col(text), _RUN)
+    return docs.select(key, F.posexplode(found).alias("number", "found")).select(
+        key, "number", "found.candidate", "found.before"
     )
 
 
+def _with_context(text: Column, pattern: str) -> Column:
+    """Array of ``(candidate, before)``: matches, and the lower-case text that ends before each."""
+    matches = F.regexp_extract_all(text, F.lit(f"({pattern})"), 1)
+    gaps = F.transform(F.split(text, pattern, -1), lambda gap: F.right(gap, F.lit(CONTEXT)))
+    both = F.arrays_zip(matches.alias("m"), gaps.alias("g"), F.concat(F.array(F.lit("")), matches).alias("p"))
+
+    def one(row: Column) -> Column:
+        gap, previous = row["g"], F.right(row["p"], F.lit(CONTEXT))
+        whole = F.when(gap.rlike(_SIGNS), F.concat(previous, gap)).otherwise(gap)
+        return F.struct(
+            row["m"].alias("candidate"),
+            F.lower(F.regexp_extract(whole, _CONTEXT, 1)).alias("before"),
+        )
+
+    # The last gap has no candidate behind it.
+    return F.transform(F.slice(both, F.lit(1), F.size(matches)), one)
+
+
 def dictionary(docs: DataFrame, text: str = "text") -> DataFrame:
     """Letter runs of at least four that occur ``COMMON`` times in all texts."""
     runs = F.explode(F.regexp_extract_all(F.lower(F.col(text)), F.lit("([a-z]{4,})"), 1))

@@ -21,3 +21,18 @@ def _found(spark, *texts):
 )
 def test_keys_within_a_word(spark, form):
     assert KEY in [candidate for candidate, _ in _found(spark, form.format(KEY))[0]]
+
+
+def test_adjacent_keys_equal_a_scan_by_hand(spark):
+    keys = [f"K{n}x" * 8 for n in range(6)]
+    texts = [
+        "keys:\n" + "\n".join(keys),
+        "\n".join(keys),
+        f"AKIA{'A1' * 8} {'x9' * 20} /home/user/project/file1",
+        f"my_authentication_token = {KEY} {KEY}",
+    ]
+    found = _found(spark, *texts)
+    for text, rows in zip(texts, found):
+        assert [c for c, _ in rows] == re.findall(r"[A-Za-z0-9_\-+/]{16,}", text)
+    # A name that is a candidate itself is still the context of its value, a key is none.
+    assert [before for _, before in found[3]] == ["", "my_authentication_token = ", ""]

@@ -15,14 +15,35 @@ SAMPLE = 5_000
 #: A dictionary word is a run of at least four letters that occurs so often in the corpus.
 COMMON = 5
 
-# Each maximal run of key characters is tried once, at its start, wherever it stands.
-_RUN = r"(?<![A-Za-z0-9_\-+/])[A-Za-z0-9_\-+/]{16,}+"
+# A noncharacter stands before each value of a secret-like name.
+_MARK = "\uFDD0"
+_KEY = r"[A-Za-z0-9_\-+/]"
+# Each maximal run of key characters is tried once, at its start, wherever it stands; with it come
+# the dotted parts on both sides and the padding of base64.
+_TOKEN = (
+    rf"(?<!{_KEY})(?:{_KEY}{{1,15}}+\.){{0,8}}+{_KEY}{{16,}}+(?:\.{_KEY}++){{0,8}}+"
+    rf"(?:={{1,2}}(?![^\s\"'`,;)}}\]&<])(?![\s\"'`]{{0,9}}{_MARK}))?+"
+)
+_JWT = r"^eyJ[A-Za-z0-9_\-]+(\.[A-Za-z0-9_\-]*){2,4}$"
+_SPACE = r"[ \t\r\n]{0,8}+"
+_NAMED = (
+    r"((?i:token|secret|passw|api[_-]?key|auth|credential)[A-Za-z0-9_\-.]{0,64}+[\"'`\])]{0,2}+"
+    rf"{_SPACE}(?:=>|:=|={{1,3}}|:){_SPACE}(?:(?i:bearer|basic|token)[ \t]++)?+[\"'`]?+)(?=[^\s\"'`])"
+)
+# To the closing quote, else to white space or the next such value.
+_QUOTED = "|".join(
+    rf"(?<={q}{_MARK})[^{q}\r\n{_MARK}]*+(?:(?<=\\){q}[^{q}\r\n{_MARK}]*+){{0,99}}+(?={q})"
+    for q in "\"'`"
+)
+_VALUE = rf"{_MARK}(?:{_QUOTED}|[^\s{_MARK}]*+)"
+# A value without quotes may end before these signs.
+_HEAD = r"^[^&;,<>(){}\[\]\"'`]++"
 #: Characters before a candidate of which its context is read.
 CONTEXT = 64
 # The name of an assignment or the word before, then signs.
-_CONTEXT = r"((?:\S*\s*[=:]+>?\s*|\S+\s+)?[^\s\w]*)$"
+_CONTEXT = r"((?:\S*\s*[=:]+>?\s*(?:(?i:bearer|basic|token)\s+)?|\S+\s+)?[^\s\w]*)$"
 # Only an assignment's signs, so its name is the run before.
-_SIGNS = r"^[\"'`\])]*\s*[=:]+>?\s*[\"'`]?$"
+_SIGNS = r"^[\"'`\])]*\s*[=:]+>?\s*(?:(?i:bearer|basic|token)\s+)?[\"'`]?$"
 _KEYWORD = r"token|secret|passw|api[_-]?key|auth|credential"
 
 FEATURES = [
@@ -41,22 +62,78 @@ FEATURES = [
 
 
 def candidates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``(key, number, candidate, before)``: long runs of key characters and what stands before.
+    """``(key, number, candidate, before)``: possible keys and what stands before each.
+
+    A candidate is a token with at least 16 key characters in a row, whole with its dotted parts and
+    padding, or the value of a secret-like name, of any length, to its closing quote or white space.
+    Of a value without quotes, what stands before its first delimiter is one too, and so are the
+    tokens within a value and the long parts of a dotted token that is no JWT.
 
     ``number`` counts the candidates of a text from 0. Null and empty texts have none. The context
     ends at the candidate before, which is never part of it unless it is the name assigned to.
     """
-    found = _with_context(F.col(text), _RUN)
-    return docs.select(key, F.posexplode(found).alias("number", "found")).select(
+    # Steps, so that each text is marked, searched and cut once.
+    marked = docs.select(key, F.regexp_replace(F.col(text), _NAMED, f"$1{_MARK}").alias("marked"))
+    cut = marked.select(key, *_cut(F.col("marked"), f"{_VALUE}|{_TOKEN}"))
+    found = F.flatten(F.transform(_with_context(F.col("matches"), F.col("gaps")), _parts))
+    return cut.select(key, F.posexplode(found).alias("number", "found")).select(
         key, "number", "found.candidate", "found.before"
     )
 
 
-def _with_context(text: Column, pattern: str) -> Column:
-    """Array of ``(candidate, before)``: matches, and the lower-case text that ends before each."""
+def _parts(block: Column) -> Column:
+    """Candidates in a match of a value or a token."""
+
+    def row(candidate: Column, before: Column) -> Column:
+        return F.struct(candidate.alias("candidate"), before.alias("before"))
+
+    before = block["before"]
+    value = F.translate(block["candidate"], _MARK, "")
+    named = block["candidate"].startswith(_MARK)
+    # A token ends by itself.
+    quoted = block["closed"] | ~named
+    whole = F.when(named & ~quoted, F.regexp_replace(value, r"[)\]}>\"'`,;.:]+$", "")).otherwise(value)
+    # Base64 has whole groups of four; other signs at the end are an assignment's.
+    unpadded = F.when(
+        ~named & (F.length(whole) % 4 != 0), F.regexp_replace(whole, "=+$", "")
+    ).otherwise(whole)
+    head = F.when(quoted, unpadded).otherwise(
+        F.regexp_replace(F.regexp_extract(unpadded, _HEAD, 0), "[.,:;]+$", "")
+    )
+    first = F.array_distinct(F.array(unpadded, head))
+    tokens = F.transform(_with_context(*_cut(value, _TOKEN)), lambda r: row(r["candidate"], r["before"]))
+    inner = F.when(named, tokens).otherwise(
+        F.transform(F.split(unpadded, r"\."), lambda part: row(part, before))
+    )
+    # What begins the value has the value's own context.
+    inner = F.transform(
+        inner, lambda r: row(r["candidate"], F.when(r["before"] == "", before).otherwise(r["before"]))
+    )
+    long = F.filter(
+        inner, lambda r: r["candidate"].rlike(f"{_KEY}{{16}}") & ~F.array_contains(first, r["candidate"])
+    )
+    wanted = F.filter(first, lambda c: c.rlike(r"[\p{L}\p{N}]"))
+    return F.concat(
+        F.transform(wanted, lambda c: row(c, before)),
+        F.when(unpadded.rlike(_JWT), F.slice(long, 1, 0)).otherwise(long),
+    )
+
+
+def _cut(text: Column, pattern: str) -> tuple[Column, Column]:
+    """Matches of a pattern, and the text before, between and after them."""
     matches = F.regexp_extract_all(text, F.lit(f"({pattern})"), 1)
-    gaps = F.transform(F.split(text, pattern, -1), lambda gap: F.right(gap, F.lit(CONTEXT)))
-    both = F.arrays_zip(matches.alias("m"), gaps.alias("g"), F.concat(F.array(F.lit("")), matches).alias("p"))
+    return matches.alias("matches"), F.split(text, pattern, -1).alias("gaps")
+
+
+def _with_context(matches: Column, gaps: Column) -> Column:
+    """Array of ``(candidate, before, closed)``: matches, the lower-case text that ends before each,
+    and whether a quote before it comes again right after it."""
+    both = F.arrays_zip(
+        matches.alias("m"),
+        F.transform(gaps, lambda gap: F.right(gap, F.lit(CONTEXT))).alias("g"),
+        F.concat(F.array(F.lit("")), matches).alias("p"),
+        F.transform(F.slice(gaps, F.lit(2), F.size(gaps)), lambda gap: F.left(gap, F.lit(1))).alias("n"),
+    )
 
     def one(row: Column) -> Column:
         gap, previous = row["g"], F.right(row["p"], F.lit(CONTEXT))
@@ -64,6 +141,7 @@ def _with_context(text: Column, pattern: str) -> Column:
         return F.struct(
             row["m"].alias("candidate"),
             F.lower(F.regexp_extract(whole, _CONTEXT, 1)).alias("before"),
+            (gap.rlike("[\"'`]$") & (F.right(gap, F.lit(1)) == row["n"])).alias("closed"),
         )
 
     # The last gap has no candidate behind it.

@@ -36,3 +36,38 @@ def test_adjacent_keys_equal_a_scan_by_hand(spark):
         assert [c for c, _ in rows] == re.findall(r"[A-Za-z0-9_\-+/]{16,}", text)
     # A name that is a candidate itself is still the context of its value, a key is none.
     assert [before for _, before in found[3]] == ["", "my_authentication_token = ", ""]
+
+
+JWT = "eyJhbGciOiJIUzI1NiIsInR5cCI6IkpXVCJ9.eyJzdWIiOiIxMjM0NTY3ODkwIn0.SflKxwRJSMeKKF2QT4fwpMeJf36P"
+BASE64 = "QUJDREVGR0hJSktMTU5PUFFSU1RVVg=="
+
+
+@pytest.mark.parametrize(
+    ("text", "values"),
+    [
+        ("password=hunter22", ["hunter22"]),
+        ("a password: 'p$ss w!rd@9' here", ["p$ss w!rd@9"]),
+        ('{"passwd":"s3cr\\"et.x","id":1}', ['s3cr\\"et.x']),
+        ("https://h/?password=hunter22&x=1", ["hunter22&x=1", "hunter22"]),
+        ("password=hunter22.\nNext", ["hunter22"]),
+        ("password=one11 secret=two22", ["one11", "two22"]),
+        (f"see {JWT}.", [JWT]),
+        (f"Authorization: Bearer {JWT}", [JWT]),
+        (f"token={JWT}&x=1", [f"{JWT}&x=1", JWT]),
+        (f"data {BASE64} end", [BASE64]),
+        (f"secret = '{BASE64}'", [BASE64]),
+        (f"{KEY}.Next", [f"{KEY}.Next", KEY]),
+        (f"long_name_of_a_key={KEY}", ["long_name_of_a_key", KEY]),
+        ("authorization_token = 'ab12'", ["authorization_token", "ab12"]),
+        ("no key here", []),
+        ("", []),
+        (None, []),
+    ],
+)
+def test_values_are_whole(spark, text, values):
+    assert [candidate for candidate, _ in _found(spark, text)[0]] == values
+
+
+def test_context_of_values(spark):
+    found = _found(spark, "password=hunter22", f"Authorization: Bearer {JWT}", "authorization_token = 'ab12'")
+    assert [rows[-1][1] for rows in found] == ["password=", "authorization: bearer ", "authorization_token = '"]

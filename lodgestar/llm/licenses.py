@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import math
 import re
+from collections import Counter, defaultdict
 from collections.abc import Mapping
 from dataclasses import dataclass
 from functools import lru_cache
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -21,7 +24,8 @@ PHRASE, WINNOW = 3, 2
 BAND = 8
 COVERAGE = 0.8
 
-# Notices of common licenses (fixed values).
+# Short notices and openings of common licenses (fixed values); whole texts and headers are the files
+# of ``license_texts``.
 TEMPLATES = {
     "MIT": "Released under the MIT License.",
     "MIT-text": "Permission is hereby granted, free of charge, to any person obtaining a copy of this "
@@ -38,6 +42,9 @@ TEMPLATES = {
     "permitted provided that the following conditions are met",
     "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0.",
     "CC-BY-4.0": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
+} | {
+    path.stem: path.read_text(encoding="utf-8")
+    for path in sorted((Path(__file__).parent / "license_texts").glob("*.txt"))
 }
 
 _MARKS = re.compile(r"[^\w\s]+|_+")
@@ -100,9 +107,12 @@ class Index:
     hashes: np.ndarray  # sorted; with the template and position of each
     owner: np.ndarray
     at: np.ndarray
+    #: Per word the templates and positions that it is a key of.
+    keys: dict[bytes, list[tuple[int, int]]]
+    counts: list[Counter[bytes]]
 
     @classmethod
-    def of(cls, templates: Mapping[str, str]) -> Index:
+    def of(cls, templates: Mapping[str, str], coverage: float = COVERAGE) -> Index:
         names = sorted(templates)
         words = [plain_words(templates[n]) for n in names]
         parts = [phrase_hashes(word_hashes(w), PHRASE, 31) for w in words]
@@ -111,7 +121,41 @@ class Index:
         owner = np.repeat(np.arange(len(names)), [len(k) for k in kept])
         at = np.concatenate(kept or [np.zeros(0, np.int64)])
         order = np.argsort(hashes, kind="stable")
-        return cls(names, words, hashes[order], owner[order], at[order])
+        # An alignment leaves out fewer words than a template has keys, so it holds one of them. Long
+        # words are rare ones.
+        keys = defaultdict(list)
+        for number, w in enumerate(words):
+            size = math.floor(len(w) * (1 - coverage) + 1e-9) + 1
+            for place in sorted(range(len(w)), key=lambda n: (-len(w[n]), n))[:size]:
+                keys[w[place]].append((number, place))
+        counts = [Counter(w) for w in words]
+        return cls(names, words, hashes[order], owner[order], at[order], dict(keys), counts)
+
+    def key_seeds(self, words: list[bytes], coverage: float) -> set[tuple[int, int, int]]:
+        """Template, start and position of each key, where enough words of the template are near."""
+        have = Counter(words)
+        possible = {
+            n
+            for n, c in enumerate(self.counts)
+            if sum(min(k, have[w]) for w, k in c.items()) >= coverage * len(self.words[n])
+        }
+        if not possible:
+            return set()
+        near: dict[tuple[int, int], bool] = {}
+        found = set()
+        for position, word in enumerate(words):
+            for number, place in self.keys.get(word, ()):
+                if number not in possible:
+                    continue
+                spot = (number, position - place)
+                if spot not in near:
+                    size = len(self.words[number])
+                    window = Counter(words[max(0, spot[1] - BAND) : max(0, spot[1] + size + BAND)])
+                    same = sum(min(k, window[w]) for w, k in self.counts[number].items())
+                    near[spot] = same >= coverage * size
+                if near[spot]:
+                    found.add((*spot, position))
+        return found
 
     def notices(self, words: list[bytes], coverage: float) -> list[tuple[str, float, int, int, int]]:
         """Template, coverage, matched words and span of each notice; spans of one do not overlap."""
@@ -126,6 +170,7 @@ class Index:
                 for n in np.flatnonzero(high > low)
                 for k in range(low[n], high[n])
             }
+            | self.key_seeds(words, coverage)
         )
         found: list[tuple[str, float, int, int, int]] = []
         for number in dict.fromkeys(s[0] for s in seeds):
@@ -152,8 +197,8 @@ class Index:
 
 
 @lru_cache(maxsize=2)
-def _index(templates: tuple[tuple[str, str], ...]) -> Index:
-    return Index.of(dict(templates))
+def _index(templates: tuple[tuple[str, str], ...], coverage: float) -> Index:
+    return Index.of(dict(templates), coverage)
 
 
 def scan(
@@ -166,7 +211,8 @@ def scan(
     """``(key, license, coverage, matched_words, first_word, last_word)`` per notice found.
 
     Every whole text is winnowed and looked up in the inverted index of the templates; a common
-    fingerprint makes a candidate, and banded alignment decides. Words are compared in lower case
+    fingerprint makes a candidate, as does one of the key words that no alignment of ``coverage`` can
+    leave out all of, and banded alignment decides. Words are compared in lower case
     without marks, ``last_word`` is exclusive. Documents without a notice, null and empty texts
     have no row. Repeated rows are reported as often as they come.
     """
@@ -174,7 +220,7 @@ def scan(
     names = ("id", "license", "coverage", "matched_words", "first_word", "last_word")
 
     def handle(rows: dict[str, list]) -> dict[str, list]:
-        index = _index(chosen)
+        index = _index(chosen, coverage)
         found = [
             (doc, *notice)
             for doc, body in zip(rows["id"], rows["text"], strict=True)

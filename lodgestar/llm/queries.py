@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from lodgestar.llm import (
     ann,
     embedding_dedup,
+    fim,
+    hard_negatives,
     licenses,
     line_dedup,
     mixing,
@@ -18,6 +20,7 @@ from lodgestar.llm import (
     simhash,
     substring_dedup,
     toxicity,
+    url_filter,
 )
 from lodgestar.session import stage
 
@@ -102,6 +105,52 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(_table(spark, folder, "documents"), tokenizer_path())
 
 
+def op11_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    """Hard negatives of every 50th vector; a seventh of the labels is moved on by one."""
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = _table(spark, folder, "embeddings").withColumn("label", moved)
+    return hard_negatives.hard_negatives(vectors, F.col("vec_id") % 50 == 0)
+
+
+#: Rules of the registered query.
+URL_RULES = (
+    url_filter.Rule("allow", "org", "/"),
+    url_filter.Rule("block", "example.org", "/es/"),
+    url_filter.Rule("block", "example.org", "/en/1"),
+    url_filter.Rule("allow", "com", "/fr/"),
+    url_filter.Rule("block", "com", "/de/"),
+)
+
+
+def op12_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    """Verdict on every page's URL, with the rule or the terms behind it."""
+    judged = url_filter.judge(_table(spark, folder, "pages"), URL_RULES)
+    return judged.select(
+        "page_id",
+        "host",
+        "path",
+        "rule",
+        "verdict",
+        F.size("strict_terms").alias("n_strict"),
+        F.size("soft_terms").alias("n_soft"),
+    )
+
+
+def op13_fim(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document cut for filling in its middle, as digests of the new and the restored text."""
+    cut = fim.transform(_table(spark, folder, "documents"))
+    restored = fim.restored(F.col("form"), F.col("output"))
+    return cut.select(
+        "doc_id",
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(restored, 256).alias("restored_sha256"),
+    )
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     import corpus_pipeline
 
@@ -120,6 +169,9 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_secret_scan,
         op9_simhash,
         op10_packing,
+        op11_hard_negatives,
+        op12_url_filter,
+        op13_fim,
         pipeline,
     )
     return {function.__name__: function for function in functions}

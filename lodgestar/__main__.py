@@ -5,7 +5,9 @@
     python -m lodgestar avg-price-by-month CITY [--months 1 6 7 10]
     python -m lodgestar top-hosts CITY [--min-reviews 30] [--k 2]
 
-On a cluster submit this file with ``spark-submit``; master and resources are those of the submit.
+An analysis is printed as rows of tab-separated values under a line of column names, all of them and
+nulls as ``NULL``. On a cluster submit this file with ``spark-submit``; master and resources are those
+of the submit.
 """
 
 from __future__ import annotations
@@ -64,7 +66,7 @@ def main(arguments: list[str] | None = None) -> None:
         result = analyses.top_hosts(star, args.city, args.min_reviews, args.k)
     print(*result.columns, sep="\t")
     for row in result.toLocalIterator():
-        print(*row, sep="\t")
+        print(*("NULL" if value is None else value for value in row), sep="\t")
 
 
 if __name__ == "__main__":

@@ -10,6 +10,11 @@ from lodgestar.schemas import CALENDAR_FIELDS
 from lodgestar.sources.csv import read_named_csv
 
 
+def _raw(spark: SparkSession, paths: str | list[str], multi_line: bool) -> DataFrame:
+    mode = "split" if multi_line else "lines"
+    return read_named_csv(spark, paths, CALENDAR_FIELDS, mode=mode)
+
+
 def read_calendar(
     spark: SparkSession,
     paths: str | list[str],
@@ -20,9 +25,9 @@ def read_calendar(
     """Typed calendar rows of all inputs in one scan.
 
     No calendar field is free text, so by default rows are lines and large files are split over
-    the cluster. ``multi_line`` also accepts newlines inside quoted fields, one task per file.
+    the cluster. ``multi_line`` also accepts newlines inside quoted fields, at a second scan.
     """
-    raw = read_named_csv(spark, paths, CALENDAR_FIELDS, multi_line=multi_line)
+    raw = _raw(spark, paths, multi_line)
     listing_id = parsing.cast(F.col("listing_id"), "long", on_error)
     if on_error == "fail":
         listing_id = parsing.required(listing_id, "listing_id of a calendar row")
@@ -38,7 +43,7 @@ def rejected_calendar_rows(
     spark: SparkSession, paths: str | list[str], *, multi_line: bool = False
 ) -> DataFrame:
     """Raw rows whose id, date or price cannot be read."""
-    raw = read_named_csv(spark, paths, CALENDAR_FIELDS, multi_line=multi_line)
+    raw = _raw(spark, paths, multi_line)
     return raw.where(
         F.col("listing_id").try_cast("long").isNull()
         | parsing.iso_date(F.col("date"), "null").isNull()

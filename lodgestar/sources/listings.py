@@ -13,20 +13,24 @@ from lodgestar.schemas import LISTING_FIELDS, REQUIRED_LISTING_FIELDS
 from lodgestar.sources.csv import read_named_csv
 
 
-def _raw(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
+def _raw(spark: SparkSession, paths: dict[str, str], mode: str) -> DataFrame:
     # The tag is a literal per input, so a filter on city removes the other inputs from the plan.
     per_city = [
-        read_named_csv(spark, path, LISTING_FIELDS, multi_line=True).withColumn("city", F.lit(city))
+        read_named_csv(spark, path, LISTING_FIELDS, mode=mode).withColumn("city", F.lit(city))
         for city, path in paths.items()
     ]
     return reduce(DataFrame.unionByName, per_city)
 
 
 def read_listings(
-    spark: SparkSession, paths: dict[str, str], *, on_error: str = "fail"
+    spark: SparkSession, paths: dict[str, str], *, on_error: str = "fail", mode: str = "split"
 ) -> DataFrame:
-    """Typed listings of all cities with their ``city`` tag; ``paths`` maps city to file or folder."""
-    raw = _raw(spark, paths)
+    """Typed listings of all cities with their ``city`` tag; ``paths`` maps city to file or folder.
+
+    Titles may hold newlines. ``split`` reads a large file by many tasks all the same, ``whole`` is
+    for files with stray quotes, see ``read_named_csv``.
+    """
+    raw = _raw(spark, paths, mode)
     typed = [
         parsing.cast(F.col(name), data_type, on_error).alias(name)
         for name, (data_type, _) in LISTING_FIELDS.items()
@@ -34,7 +38,9 @@ def read_listings(
     return raw.select(*typed, "city")
 
 
-def rejected_listing_rows(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
+def rejected_listing_rows(
+    spark: SparkSession, paths: dict[str, str], *, mode: str = "split"
+) -> DataFrame:
     """Raw rows with a value that does not fit its type or a missing required value."""
     bad: Column = F.lit(False)
     for name, (data_type, required) in LISTING_FIELDS.items():
@@ -43,7 +49,7 @@ def rejected_listing_rows(spark: SparkSession, paths: dict[str, str]) -> DataFra
             bad = bad | (value.isNotNull() & value.try_cast(data_type).isNull())
         if required:
             bad = bad | value.isNull()
-    return _raw(spark, paths).where(bad)
+    return _raw(spark, paths, mode).where(bad)
 
 
 def required_field_nulls(listings: DataFrame) -> DataFrame:

@@ -6,17 +6,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodgestar.functions import parsing
+from lodgestar.sources.blocks import read_blocks, with_heads
 from lodgestar.sources.splits import spread
 
 
-def _pieces(spark: SparkSession, paths: str | list[str], mode: str) -> DataFrame:
+def _pieces(spark: SparkSession, paths: str | list[str], mode: str, prefix: str) -> DataFrame:
     """Text pieces to search for records, column ``value``.
 
-    ``split``: the reader cuts the files at line starts with the record prefix, so one large file
-    is read by many tasks. A quoted comment that itself has such a line would be cut; its piece
-    then has an unclosed quote, which fails the job instead of giving other records than a search
-    of the whole file would. The first piece of a file had no separator before it and stays as it
-    is: it is told by the smallest row id in the file's first block, one row per file.
+    ``split``: the reader cuts the files at line starts with ``prefix``, so one large file is read
+    by many tasks, once, and no text is shuffled. Records that start otherwise are found within the
+    pieces; ``prefix`` only decides where a file may be cut. A quoted comment that itself has such a
+    line would be cut; its piece then has an unclosed quote, which fails the job instead of giving
+    other records than a search of the whole file would. The first piece of a file had no separator
+    before it and stays as it is; the task that reads it sees that it is the first.
 
     ``whole``: each file is one piece, exact for any text, at most 2 GB per file.
     """
@@ -24,18 +26,10 @@ def _pieces(spark: SparkSession, paths: str | list[str], mode: str) -> DataFrame
         return spark.read.text(paths, wholetext=True)
     if mode != "split":
         raise ValueError(f"mode must be 'split' or 'whole', not {mode!r}")
-    cut = spark.read.text(paths, lineSep=f"\n{parsing.REVIEW_PREFIX}").select(
-        "value",
-        F.monotonically_increasing_id().alias("at"),
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("block"),
-    )
-    heads = cut.where("block = 0").groupBy("file").agg(F.min("at").alias("at"))
-    heads = heads.withColumn("head", F.lit(True))
+    pieces = with_heads(read_blocks(spark, paths, f"\n{prefix}"))
     value = F.when(F.col("head"), F.col("value")).otherwise(
-        F.concat(F.lit(parsing.REVIEW_PREFIX), F.col("value"))
+        F.concat(F.lit(prefix), F.col("value"))
     )
-    pieces = cut.join(heads, ["file", "at"], "left").select(value.alias("value"))
     error = F.raise_error(
         F.concat(
             F.lit("comment not closed, read this input with mode='whole': "),
@@ -43,7 +37,7 @@ def _pieces(spark: SparkSession, paths: str | list[str], mode: str) -> DataFrame
         )
     )
     checked = F.when(parsing.has_open_comment(F.col("value")), error).otherwise(F.col("value"))
-    return pieces.select(checked.alias("value"))
+    return pieces.select(value.alias("value")).select(checked.alias("value"))
 
 
 def _records(pieces: DataFrame) -> DataFrame:
@@ -54,8 +48,8 @@ def _records(pieces: DataFrame) -> DataFrame:
 def parse_reviews(pieces: DataFrame, *, on_error: str = "fail") -> DataFrame:
     """Reviews found in the ``value`` column: review_id, listing_id, date, comment.
 
-    ``review_id`` tells equal reviews apart. It is made in the task that scans the text, from the
-    position of the row, so a task that runs again gives the same ids.
+    ``review_id`` tells equal reviews apart. Behind ``read_reviews`` it is made in the task that
+    scans the text, from the position of the row, so a task that runs again gives the same ids.
     """
     return _records(pieces).select(
         F.monotonically_increasing_id().alias("review_id"),
@@ -72,20 +66,27 @@ def read_reviews(
     mode: str = "split",
     on_error: str = "fail",
     partitions: int | None = None,
+    prefix: str = parsing.REVIEW_PREFIX,
 ) -> DataFrame:
     """Reviews of all inputs in one scan; see ``_pieces`` for the two ways to cut the text.
 
+    ``prefix`` is what most records start with, at the start of a line.
+
     ``partitions`` moves the reviews to so many tasks, for few large files read as a whole.
     """
-    reviews = parse_reviews(_pieces(spark, paths, mode), on_error=on_error)
+    reviews = parse_reviews(_pieces(spark, paths, mode, prefix), on_error=on_error)
     return spread(reviews, partitions, "review_id")
 
 
 def rejected_review_rows(
-    spark: SparkSession, paths: str | list[str], *, mode: str = "split"
+    spark: SparkSession,
+    paths: str | list[str],
+    *,
+    mode: str = "split",
+    prefix: str = parsing.REVIEW_PREFIX,
 ) -> DataFrame:
     """Records that match the pattern but hold no valid listing id or date (raw strings)."""
-    records = _records(_pieces(spark, paths, mode)).select(
+    records = _records(_pieces(spark, paths, mode, prefix)).select(
         F.col("field")[0].alias("listing_id"),
         F.col("field")[1].alias("date"),
         F.col("field")[2].alias("comment"),

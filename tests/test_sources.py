@@ -1,12 +1,16 @@
+import csv
 import datetime
+import io
+import random
 
 import pytest
 from conftest import rows
-from hypothesis import HealthCheck, given, settings
+from hypothesis import HealthCheck, Phase, given, settings
 from hypothesis import strategies as st
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
+from lodgestar.sources import blocks
 from lodgestar.sources import (
     RawLayout,
     check_required,
@@ -20,6 +24,7 @@ from lodgestar.sources import (
     required_field_nulls,
     spread,
 )
+from lodgestar.sources.csv import read_named_csv
 
 day = datetime.date
 HEADER = (
@@ -117,6 +122,99 @@ def test_bad_calendar_rows(spark, tmp_path):
     assert rows(rejected_calendar_rows(spark, path), "listing_id") == [(None,), ("1",), ("2",)]
 
 
+def split_reads(spark, split_bytes, read):
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(split_bytes))
+    try:
+        return read()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+field = st.text(st.sampled_from('ab ,"\n;é\t日'), max_size=12)
+
+
+@settings(
+    max_examples=12,
+    deadline=None,
+    suppress_health_check=list(HealthCheck),
+    phases=[Phase.generate],
+)
+@given(
+    st.lists(st.lists(st.tuples(field, field, field), max_size=30), min_size=1, max_size=3),
+    st.sampled_from(["\n", "\r\n"]),
+    st.booleans(),
+    st.sampled_from([40, 100, 300, 1000]),
+)
+def test_quoted_records_are_read_alike_in_splits(spark, tmp_path_factory, files, end, last, size):
+    """Splitting CSV files gives what Spark's multi-line reader gives.
+
+    Where a block is so small that a record covers it, the job fails instead.
+    """
+    folder = tmp_path_factory.mktemp("records")
+    for n, records in enumerate(files):
+        out = io.StringIO()
+        writer = csv.writer(out, lineterminator=end)
+        writer.writerow(["b", "A", "c"])
+        writer.writerows(records)
+        text = out.getvalue() if last else out.getvalue().removesuffix(end)
+        write(folder / f"{n}.csv", text)
+
+    def found(mode):
+        return rows(read_named_csv(spark, str(folder), ["a", "b", "c"], mode=mode))
+
+    whole = found("whole")
+    assert found("split") == whole
+    try:
+        assert split_reads(spark, size, lambda: found("split")) == whole
+    except PySparkException as error:
+        assert "reaches far into the next block" in str(error) and size < 300
+
+
+def test_large_listing_file_is_read_by_many_tasks(spark, tmp_path):
+    draw = random.Random(3)
+    lines = [HEADER]
+    for n in range(2_000):
+        title = draw.choice(["Flat", '"Loft, ""big""\n\nquiet"', '"two\nlines"'])
+        lines.append(f"{n},{title},10,Ann,g,n,1.0,2.0,Private room,{n % 90},1,3,,,1,365")
+    path = write(tmp_path / "a.csv", "\n".join(lines) + "\n")
+
+    def read(mode):
+        frame = read_listings(spark, {"BERLIN": path}, mode=mode)
+        return frame, rows(frame, "id", "name", "price"), frame.rdd.getNumPartitions()
+
+    whole, expected, tasks = read("whole")
+    assert tasks == 1
+    split, found, tasks = split_reads(spark, 4096, lambda: read("split"))
+    assert found == expected and len(found) == 2_000 and tasks > 20
+    # Only the table of blocks moves.
+    plan = split._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    moved = [line for line in plan.splitlines() if "Exchange hash" in line]
+    assert moved and all("hashpartitioning(file" in line for line in moved)
+    assert "value" not in plan[plan.index("Exchange hash") :].split("MapInArrow")[0]
+
+
+def test_stray_quotes_and_long_overhangs_are_refused(spark, tmp_path, monkeypatch):
+    stray = write(tmp_path / "a.csv", 'a,b\n1,5" pipe\n2,x\n3,6" pipe\n')
+    with pytest.raises(PySparkException, match="quote within a field"):
+        read_named_csv(spark, stray, ["a", "b"], mode="split").collect()
+    assert len(read_named_csv(spark, stray, ["a", "b"], mode="whole").collect()) == 3
+    unclosed = write(tmp_path / "b.csv", 'a,b\n1,"open\n2,x\n')
+    with pytest.raises(PySparkException, match="quote within a field"):
+        read_named_csv(spark, unclosed, ["a", "b"], mode="split").collect()
+    long = write(tmp_path / "c.csv", 'a,b\n1,"' + "word\n" * 400 + '"\n2,x\n')
+    read = lambda: read_named_csv(spark, long, ["a", "b"], mode="split").collect()
+    with pytest.raises(PySparkException, match="reaches far into the next block"):
+        split_reads(spark, 64, read)
+    assert len(read()) == 2
+    other = write(tmp_path / "d" / "d.csv", "a,b\n1,2\n")
+    write(tmp_path / "d" / "e.csv", "b,a\n1,2\n")
+    with pytest.raises(PySparkException, match="header does not conform"):
+        read_named_csv(spark, str(tmp_path / "d"), ["a", "b"], mode="split").collect()
+    assert other and blocks.OVERHANG >= 1 << 20
+
+
 def review_text(count):
     records = []
     for n in range(count):
@@ -142,6 +240,31 @@ def test_split_and_whole_reading_agree(spark, tmp_path, split_bytes):
     assert len(whole) > 90
 
 
+def test_split_reading_scans_once_and_shuffles_nothing(spark, tmp_path):
+    path = write(tmp_path / "a.txt", review_text(20_000))
+
+    def read():
+        frame = read_reviews(spark, path)
+        ids = [{tuple(r) for r in frame.select("review_id", "comment").collect()} for _ in range(2)]
+        return frame, ids, frame.count(), frame.rdd.getNumPartitions()
+
+    frame, (first, again), count, tasks = split_reads(spark, 1 << 16, read)
+    assert first == again and len(first) == count > 10_000 and tasks > 8
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan text") == 1
+    assert "Exchange" not in plan and "Join" not in plan
+
+
+def test_records_of_another_prefix(spark, tmp_path):
+    text = review_text(300).replace("Review ", "Rezens ")
+    path = write(tmp_path / "a.txt", text)
+    columns = ("listing_id", "date", "comment")
+    whole = rows(read_reviews(spark, path, mode="whole"), *columns)
+    split = read_reviews(spark, path, prefix="Rezens ")
+    assert split_reads(spark, 500, lambda: rows(split, *columns)) == whole
+    assert rows(read_reviews(spark, path), *columns) == whole and len(whole) > 200
+
+
 def test_cut_comment_fails_instead_of_differing(spark, tmp_path):
     text = (
         'Review 1 for listing 2 x 2018-01-01:"a quote\nReview of the flat: fine"\n'

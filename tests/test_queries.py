@@ -1,9 +1,11 @@
 """Every registered query against its SQL on the smallest tables."""
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_module
 from validation.compare import connect, differences
+from validation.frames import Frames
 from validation.oracle import all_oracle_sql
 from validation.queries import all_queries
 
@@ -30,3 +32,13 @@ def test_entry(spark):
     frame = entry_module.entry(spark)
     assert frame.columns[:2] == ["city", "year"]
     assert frame.count() > 0
+
+
+def test_reviews_hold_whole_documents(spark):
+    """Every character of every document that is a comment, but for the quotes around it."""
+    frames = Frames(spark, FOLDER)
+    texts = frames.stays.join(frames.table("documents"), "doc_id").where("length(text) > 0")
+    expected = texts.agg(F.count("*"), F.sum(F.length("text"))).first()
+    reviews = all_queries()["scan_review_text_split"](spark, FOLDER)
+    comment = F.regexp_replace("comment", '"', "")
+    assert reviews.agg(F.count("*"), F.sum(F.length(comment))).first() == expected

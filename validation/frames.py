@@ -10,7 +10,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodgestar.functions.rating import words
@@ -21,6 +21,9 @@ from lodgestar.plans.warehouse import create_warehouse, insert_rows
 from lodgestar.session import scratch_path, stage
 from lodgestar.sources import lexicon_from_words
 
+# What ends a line for the review pattern.
+LINE_BREAKS = "\n\r\x85\u2028\u2029"
+
 # Application and folder of tables -> database with their warehouse.
 _warehouses: dict[tuple[str, str], str] = {}
 
@@ -165,12 +168,12 @@ class Frames:
             insert_rows(rows, name, database)
         return database
 
-    @cached_property
-    def review_records(self) -> DataFrame:
+    def _records(self, plain: Column, quoted: Column) -> DataFrame:
         """One text record per order with the document of its stay: quoted and plain in turn."""
         documents = self.table("documents").select("doc_id", "text")
-        joined = self.stays.join(documents, "doc_id")
-        quote = F.when(F.col("review_id") % 2 == 0, F.lit('"')).otherwise(F.lit(""))
+        comment = F.when(
+            F.col("review_id") % 2 == 0, F.concat(F.lit('"'), quoted, F.lit('"'))
+        ).otherwise(plain)
         record = F.concat(
             F.lit("Review "),
             "review_id",
@@ -179,8 +182,22 @@ class Frames:
             F.lit(" by a guest on "),
             F.date_format("date", "yyyy-MM-dd"),
             F.lit(":"),
-            quote,
-            "text",
-            quote,
+            comment,
         )
+        joined = self.stays.join(documents, "doc_id")
         return joined.select("review_id", record.alias("value"))
+
+    @cached_property
+    def review_records(self) -> DataFrame:
+        """Records whose comments are whole documents.
+
+        As in a dump, a comment holds no quotes, and one that is not quoted no line breaks.
+        """
+        quoted = F.translate("text", '"', "'")
+        plain = F.translate(quoted, LINE_BREAKS, " " * len(LINE_BREAKS))
+        return self._records(plain, quoted)
+
+    @cached_property
+    def awkward_records(self) -> DataFrame:
+        """Records with the documents as they are, so that the pattern cuts many of them."""
+        return self._records(F.col("text"), F.col("text"))

@@ -27,6 +27,12 @@ def _check_mode(on_error: str) -> None:
         raise ValueError(f"on_error must be 'fail' or 'null', not {on_error!r}")
 
 
+def check_lenient(on_error: str) -> None:
+    """Rows are only rejected where a malformed value does not fail the job."""
+    if on_error != "null":
+        raise ValueError("rejected rows are told with on_error='null' only")
+
+
 def cast(value: Column, data_type, on_error: str = "fail") -> Column:
     _check_mode(on_error)
     return value.cast(data_type) if on_error == "fail" else value.try_cast(data_type)

@@ -15,9 +15,14 @@ from pyspark.sql import functions as F
 FACT_KEYS = ["neighbourhood", "date", "host_id", "room_type"]
 
 
+def _day_keys(rows: DataFrame) -> list[str]:
+    # Rejected rows are listed one by one beside the days.
+    return ["listing_id", "date", *(["reject"] if "reject" in rows.columns else [])]
+
+
 def review_days(rated: DataFrame) -> DataFrame:
     """Reviews per listing and date: reviews, rating_sum."""
-    return rated.groupBy("listing_id", "date").agg(
+    return rated.groupBy(*_day_keys(rated)).agg(
         F.count(F.lit(1)).alias("reviews"), F.sum("rating").alias("rating_sum")
     )
 
@@ -27,7 +32,7 @@ def calendar_days(calendar: DataFrame) -> DataFrame:
 
     The price sum is null where no row has a price.
     """
-    return calendar.groupBy("listing_id", "date").agg(
+    return calendar.groupBy(*_day_keys(calendar)).agg(
         F.count(F.lit(1)).alias("entries"),
         F.count_if("available").alias("available_entries"),
         F.sum("price").alias("entry_price_sum"),
@@ -59,9 +64,9 @@ def combine_days(
 ) -> DataFrame:
     """Measures per listing, attributes and date.
 
-    Both day frames come out of an aggregation on (listing_id, date), so their join needs no
-    further shuffle, unless they were staged as files first. Without a calendar row the listing counts as available at its own price; with
-    one, the calendar decides, and its missing price stays missing.
+    Both day frames come out of an aggregation on (listing_id, date) or a table bucketed by listing,
+    so their join needs no further shuffle. Without a calendar row the listing counts as available
+    at its own price; with one, the calendar decides, and its missing price stays missing.
     """
     joined = review_day.join(calendar_day, ["listing_id", "date"], "left").join(
         listing_group, "listing_id"
@@ -89,9 +94,15 @@ def fact_from_days(
     listing_group: DataFrame,
     *,
     row_id: str = "stable",
+    first_id: Column | None = None,
 ) -> DataFrame:
-    """Fact rows from already summed inputs, see ``fact_reviews``."""
-    ids = {"stable": stable_id(*FACT_KEYS), "run": F.monotonically_increasing_id().cast("string")}
+    """Fact rows from already summed inputs, see ``fact_reviews``.
+
+    ``first_id`` is the smallest number that a run's ids may have.
+    """
+    number = F.monotonically_increasing_id()
+    number = number if first_id is None else number + first_id
+    ids = {"stable": stable_id(*FACT_KEYS), "run": number.cast("string")}
     if row_id not in ids:
         raise ValueError(f"row_id must be one of {sorted(ids)}, not {row_id!r}")
     facts = (

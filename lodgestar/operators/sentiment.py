@@ -38,8 +38,7 @@ def rate_texts(
 
 
 def rate_reviews(reviews: DataFrame, lexicon: DataFrame) -> DataFrame:
-    """Parsed reviews -> review_id, listing_id, date, rating; one row per review."""
-    rated = rate_texts(
-        reviews, lexicon, key="review_id", text="comment", keep=("listing_id", "date")
-    )
-    return rated.select("review_id", "listing_id", "date", "rating")
+    """Parsed reviews -> review_id, listing_id, date, rating (and reject); one row per review."""
+    keep = [name for name in ("listing_id", "date", "reject") if name in reviews.columns]
+    rated = rate_texts(reviews, lexicon, key="review_id", text="comment", keep=keep)
+    return rated.select("review_id", *keep, "rating")

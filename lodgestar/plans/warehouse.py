@@ -2,16 +2,24 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
-from functools import partial
+from functools import partial, reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from lodgestar.operators import dimensions, facts
 from lodgestar.operators.sentiment import rate_reviews
-from lodgestar.schemas import WAREHOUSE_TABLES
-from lodgestar.session import run_together, stage
+from lodgestar.plans.merge import (
+    in_written_order,
+    insert_rows,
+    merge_dimension,
+    merge_facts,
+    table_name,
+)
+from lodgestar.schemas import REJECT_COLUMNS, WAREHOUSE_TABLES
+from lodgestar.session import run_together
 from lodgestar.sources import (
     RawLayout,
     check_required,
@@ -20,12 +28,11 @@ from lodgestar.sources import (
     read_listings,
     read_reviews,
 )
+from lodgestar.sources.rejects import both_ways
+from lodgestar.staging import Staging, settings
 
 FACT_TABLE = "tof_reviews"
-
-
-def _table(database: str | None, name: str) -> str:
-    return f"`{database}`.`{name}`" if database else f"`{name}`"
+REJECT_TABLE = "rejected_rows"
 
 
 def create_warehouse(
@@ -36,7 +43,7 @@ def create_warehouse(
     file_format: str = "orc",
     fact_by_year: bool = False,
 ) -> None:
-    """Drop and create the five tables.
+    """Drop and create the five tables, and that of rejected rows.
 
     ``fact_by_year`` adds a ``year`` partition column to the fact table, for analyses of single
     years over a large history. ``location`` is the folder of a new database.
@@ -46,36 +53,21 @@ def create_warehouse(
     if database:
         place = f" LOCATION '{location}'" if location else ""
         spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`{place}")
-    for name, columns in WAREHOUSE_TABLES.items():
+    for name, columns in {**WAREHOUSE_TABLES, REJECT_TABLE: REJECT_COLUMNS}.items():
         partitioned = fact_by_year and name == FACT_TABLE
         if partitioned:
             columns = [*columns, ("year", "int")]
         ddl = ", ".join(f"`{column}` {sql_type}" for column, sql_type in columns)
-        spark.sql(f"DROP TABLE IF EXISTS {_table(database, name)}")
+        spark.sql(f"DROP TABLE IF EXISTS {table_name(database, name)}")
         spark.sql(
-            f"CREATE TABLE {_table(database, name)} ({ddl}) USING {file_format}"
+            f"CREATE TABLE {table_name(database, name)} ({ddl}) USING {file_format}"
             + (" PARTITIONED BY (`year`)" if partitioned else "")
         )
 
 
-def insert_rows(
-    rows: DataFrame, name: str, database: str | None = None, *, overwrite: bool = True
-) -> None:
-    """Insert by position, replacing the old rows or (``overwrite=False``) after them.
-
-    Appending the same load twice doubles the table, so replacing is the default.
-    """
-    spark = rows.sparkSession
-    table = _table(database, name)
-    if "year" in spark.table(table).columns and name == FACT_TABLE:
-        # Evenly sized files per year; a year too large for one task is split over several.
-        rows = rows.withColumn("year", F.year("date")).hint("rebalance", F.col("year"))
-    rows.write.insertInto(table, overwrite=overwrite)
-
-
 @dataclass(frozen=True)
 class Inputs:
-    """Typed inputs of a load."""
+    """Typed inputs of a load. Listings, calendar and reviews may have a column ``reject``."""
 
     listings: DataFrame
     calendar: DataFrame
@@ -91,67 +83,190 @@ class Inputs:
         negative_words: str | list[str],
         *,
         review_mode: str = "split",
+        listing_mode: str = "split",
         on_error: str = "fail",
         normalize_lexicon: bool = False,
     ) -> Inputs:
-        listings = read_listings(spark, layout.listings(), on_error=on_error)
+        """``on_error="null"`` reads malformed values as null and tells the rows they are in."""
+        lenient = on_error == "null"
+        options = {"on_error": on_error, "rejects": lenient}
+        listings = read_listings(spark, layout.listings(), mode=listing_mode, **options)
         return cls(
-            check_required(listings) if on_error == "fail" else listings,
-            read_calendar(spark, layout.calendars(), on_error=on_error),
-            read_reviews(spark, layout.reviews(), mode=review_mode, on_error=on_error),
+            listings if lenient else check_required(listings),
+            read_calendar(spark, layout.calendars(), **options),
+            read_reviews(spark, layout.reviews(), mode=review_mode, **options),
             read_lexicon(spark, positive_words, negative_words, normalize=normalize_lexicon),
         )
 
 
+@dataclass(frozen=True)
+class Counts:
+    """Rows of one input as the job that staged them counted: all, with a fault, and left out."""
+
+    rows: int
+    rejected: int
+    left_out: int
+
+
+LISTING_COLUMNS = (
+    "id",
+    "host_id",
+    "host_name",
+    "neighbourhood_group",
+    "neighbourhood",
+    "city",
+    "room_type",
+    "price",
+    "number_of_reviews",
+)
+
+
+class _Loading:
+    """The inputs of one load, staged in one pass each."""
+
+    def __init__(self, staging: Staging) -> None:
+        self.staging = staging
+        self.observed: dict[str, Observation] = {}
+        self.rejects: list[DataFrame] = []
+
+    def _staged(
+        self,
+        name: str,
+        rows: DataFrame,
+        sums: Callable[[DataFrame], DataFrame],
+        key: str,
+        where: str = "listing_id IS NOT NULL AND date IS NOT NULL",
+    ) -> DataFrame:
+        """What ``sums`` makes of the rows that count, bucketed by ``key``.
+
+        Rejected rows are written by the same job, into a partition of their own.
+        """
+        fault = F.col("reject").isNotNull() if "reject" in rows.columns else F.lit(False)
+        left_out = fault & ~F.col("reject.kept") if "reject" in rows.columns else F.lit(False)
+        self.observed[name] = Observation(name)
+        rows = rows.observe(
+            self.observed[name],
+            F.count(F.lit(1)).alias("rows"),
+            F.count_if(fault).alias("rejected"),
+            F.count_if(left_out).alias("left_out"),
+        )
+        if "reject" not in rows.columns:
+            return self.staging.write(sums(rows.where(where)), name, bucket_by=key)
+        told = sums(both_ways(rows)).withColumn("rejected", F.col("reject").isNotNull())
+        staged = self.staging.write(told, name, bucket_by=key, partition_by=["rejected"])
+        self.rejects.append(staged.where("rejected").select("reject.*"))
+        return staged.where("NOT rejected").drop("rejected", "reject")
+
+    def listings(self, rows: DataFrame) -> DataFrame:
+        told = [name for name in rows.columns if name == "reject"]
+        rows = rows.select(*LISTING_COLUMNS, *told)
+        return self._staged("listings", rows, lambda r: r, "id", where="true")
+
+    def calendar(self, rows: DataFrame) -> DataFrame:
+        return self._staged("calendar", rows, facts.calendar_days, "listing_id")
+
+    def reviews(self, rows: DataFrame, lexicon: DataFrame) -> DataFrame:
+        def sums(reviews: DataFrame) -> DataFrame:
+            return facts.review_days(rate_reviews(reviews, lexicon))
+
+        return self._staged("reviews", rows, sums, "listing_id")
+
+    def counts(self) -> dict[str, Counts]:
+        return {name: Counts(**seen.get) for name, seen in self.observed.items()}
+
+
 def load_warehouse(
     spark: SparkSession,
     inputs: Inputs,
     database: str | None = None,
     *,
     overwrite: bool = True,
+    merge: bool = False,
     row_id: str = "stable",
-) -> None:
-    """Fill the dimensions and the fact table.
+) -> dict[str, Counts]:
+    """Fill the dimensions and the fact table; returns the rows of each input.
+
+    By default the new rows replace the old ones; ``overwrite=False`` adds them as they are. With
+    ``merge`` dimension keys stay unique and facts of equal key are summed, so that loads of
+    disjoint reviews, each with the listings and calendar rows of its reviews, give in any order
+    what one load of all would.
 
     Listings are staged as parsed, reviews and calendar as sums per listing and date: that is all
-    the dates and the facts need, and much less than the raw text. Reviews and calendar rows whose
-    listing or date could not be read (lenient inputs) have no key and are left out of dates and
-    facts; the ``rejected_*_rows`` functions list them.
+    the dates and the facts need, and much less than the raw text. All three are bucketed by
+    listing, so their joins shuffle nothing. The staged tables are dropped when the load ends or
+    fails. Reviews and calendar rows without a listing or date have no key and are left out. Rows of
+    lenient inputs with any fault go to the table of rejected rows, written by the same pass over
+    the raw files.
     """
-    columns = (
-        "id",
-        "host_id",
-        "host_name",
-        "neighbourhood_group",
-        "neighbourhood",
-        "city",
-        "room_type",
-        "price",
-        "number_of_reviews",
-    )
-    # Once written, the lexicon's measured size decides whether it is broadcast.
-    keyed = "listing_id IS NOT NULL AND date IS NOT NULL"
-    rated = rate_reviews(inputs.reviews.where(keyed), stage(inputs.lexicon, "lexicon"))
-    listings, review_day, calendar_day = run_together(
-        spark,
-        partial(stage, inputs.listings.select(*columns), "listings"),
-        partial(stage, facts.review_days(rated), "review-days"),
-        partial(stage, facts.calendar_days(inputs.calendar.where(keyed)), "calendar-days"),
-    )
-    dates = dimensions.dim_date(calendar_day, review_day)
-    tables = {
+    if merge and row_id != "stable":
+        raise ValueError("facts are merged by their stable ids")
+    with Staging(spark) as staging:
+        # Once written, the lexicon's measured size decides whether it is broadcast.
+        lexicon = staging.write(inputs.lexicon, "lexicon")
+        loading = _Loading(staging)
+        listings, review_day, calendar_day = run_together(
+            spark,
+            partial(loading.listings, inputs.listings),
+            partial(loading.reviews, inputs.reviews, lexicon),
+            partial(loading.calendar, inputs.calendar),
+        )
+        # Joins on listing and date may use the buckets of the listing.
+        with settings(spark, spark__sql__requireAllClusterKeysForCoPartition="false"):
+            _fill(spark, staging, database, listings, review_day, calendar_day, overwrite, merge, row_id)
+            if loading.rejects and spark.catalog.tableExists(table_name(database, REJECT_TABLE)):
+                listed = reduce(DataFrame.unionByName, loading.rejects)
+                insert_rows(listed, REJECT_TABLE, database, overwrite=overwrite and not merge)
+        return loading.counts()
+
+
+def _fill(
+    spark: SparkSession,
+    staging: Staging,
+    database: str | None,
+    listings: DataFrame,
+    review_day: DataFrame,
+    calendar_day: DataFrame,
+    overwrite: bool,
+    merge: bool,
+    row_id: str,
+) -> None:
+    dimension_rows = {
         "dim_room_type": dimensions.dim_room_type(listings),
-        "dim_neighbourhood": dimensions.dim_neighbourhood(listings).orderBy("city"),
-        "dim_date": dates.orderBy("year", "month", "day"),
+        "dim_neighbourhood": dimensions.dim_neighbourhood(listings),
+        "dim_date": dimensions.dim_date(calendar_day, review_day),
         "dim_host": dimensions.dim_host(listings),
-        FACT_TABLE: facts.fact_from_days(
-            review_day, calendar_day, facts.listing_groups(listings), row_id=row_id
-        ),
     }
+    dimension_rows = {name: in_written_order(name, rows) for name, rows in dimension_rows.items()}
+    first_id = None
+    if row_id == "run" and not overwrite:
+        first_id = next_run_id(spark, database)
+    fact_rows = facts.fact_from_days(
+        review_day,
+        calendar_day,
+        facts.listing_groups(listings),
+        row_id=row_id,
+        first_id=first_id,
+    )
+    if merge:
+        run_together(
+            spark,
+            *[
+                partial(merge_dimension, staging, rows, name, database)
+                for name, rows in dimension_rows.items()
+            ],
+            partial(merge_facts, staging, fact_rows, FACT_TABLE, database),
+        )
+        return
     run_together(
         spark,
         *[
             partial(insert_rows, rows, name, database, overwrite=overwrite)
-            for name, rows in tables.items()
+            for name, rows in {**dimension_rows, FACT_TABLE: fact_rows}.items()
         ],
     )
+
+
+def next_run_id(spark: SparkSession, database: str | None = None) -> Column:
+    """One more than the largest number among the fact ids, so that runs share no id."""
+    ids = spark.table(table_name(database, FACT_TABLE)).select(F.col("id").try_cast("long"))
+    return F.coalesce(ids.agg(F.max("id") + 1).scalar(), F.lit(0))

@@ -47,3 +47,22 @@ WAREHOUSE_TABLES: dict[str, list[tuple[str, str]]] = {
         ("declared_reviews_count", "bigint"),
     ],
 }
+
+# Key of each dimension, and the order in which the smallest row of a key is kept.
+DIMENSION_KEYS: dict[str, tuple[str, list[str]]] = {
+    "dim_room_type": ("room_type", []),
+    "dim_neighbourhood": ("name", ["city", "group"]),
+    "dim_date": ("date", ["day", "month", "year"]),
+    "dim_host": ("id", ["name"]),
+}
+
+# Rows of the inputs that could not be read as they should, in the order of their columns.
+REJECT_COLUMNS: list[tuple[str, str]] = [
+    ("source", "string"),
+    ("file", "string"),
+    ("block", "bigint"),
+    ("row", "bigint"),
+    ("reasons", "array<string>"),
+    ("raw", "string"),
+    ("kept", "boolean"),
+]

@@ -20,11 +20,12 @@ OVERHANG = 1 << 20
 
 
 def read_blocks(spark: SparkSession, paths: str | list[str], separator: str) -> DataFrame:
-    """Pieces of text between separators: value, file (a hash of its path), block (its first byte)."""
+    """Pieces of text between separators: value, path, file (a hash of it), block (its first byte)."""
     return spark.read.text(paths, lineSep=separator).select(
         "value",
         F.xxhash64("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
+        F.col("_metadata.file_path").alias("path"),
     )
 
 
@@ -44,16 +45,28 @@ def block_runs(
             last = place
 
 
-def with_heads(pieces: DataFrame) -> DataFrame:
-    """``(value, head)``: ``head`` marks the first piece of each file."""
+def with_heads(pieces: DataFrame, *, placed: bool = False) -> DataFrame:
+    """``(value, head)``: ``head`` marks the first piece of each file.
+
+    ``placed`` adds the place of each piece: file (its path), block, row.
+    """
+    place = ("path", "block") if placed else ()
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at = 0
         for (_, block), first, run in block_runs(batches):
             head = np.zeros(run.num_rows, dtype=bool)
             head[0] = first and block == 0
-            yield pa.RecordBatch.from_arrays([run.column("value"), pa.array(head)], ["value", "head"])
+            at = 0 if first else at
+            columns = {"value": run.column("value"), "head": pa.array(head)}
+            if placed:
+                columns["file"], columns["block"] = (run.column(name) for name in place)
+                columns["row"] = pa.array(np.arange(at, at + run.num_rows))
+            at += run.num_rows
+            yield pa.RecordBatch.from_pydict(columns)
 
-    return pieces.mapInArrow(mark, "value string, head boolean")
+    fields = "value string, head boolean" + ", file string, block long, row long" * placed
+    return pieces.select("value", "file", "block", *place[:1]).mapInArrow(mark, fields)
 
 
 _PROFILE = pa.schema(
@@ -114,7 +127,7 @@ def _profiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _block_states(lines: DataFrame) -> DataFrame:
     """Per block: whether a quote is open before it, and the text that ends its last record."""
-    profiles = lines.mapInArrow(
+    profiles = lines.select("value", "file", "block").mapInArrow(
         _profiles, "file long, block long, odd boolean, start string, crlf boolean"
     )
     order = Window.partitionBy("file").orderBy("block")
@@ -137,7 +150,7 @@ def _block_states(lines: DataFrame) -> DataFrame:
 
 
 _RECORDS = pa.schema(
-    [("value", pa.string()), ("file", pa.int64()), ("block", pa.int64()), ("line", pa.int64())]
+    [("value", pa.string()), ("file", pa.string()), ("block", pa.int64()), ("row", pa.int64())]
 )
 
 
@@ -150,7 +163,8 @@ class _Records:
     """Puts the lines of one block together; ``pending`` are those of a record not yet closed."""
 
     def __init__(self, place: tuple[int, int], run: pa.RecordBatch) -> None:
-        self.place, self.at = place, 0
+        self.block, self.at = place[1], 0
+        self.path = run.column("path")[0].as_py() if "path" in run.schema.names else None
         self.open = run.column("open")[0].as_py()
         self.rest, self.crlf = run.column("rest")[0].as_py(), run.column("crlf")[0].as_py()
         # What ends a record of the block before is in that block's ``rest``.
@@ -159,13 +173,12 @@ class _Records:
         self.began = 0
 
     def _batch(self, values, lines) -> pa.RecordBatch:
-        file, block = self.place
         size = len(lines)
         return pa.RecordBatch.from_arrays(
             [
                 pa.array(values, pa.string()) if isinstance(values, list) else values,
-                pa.array(np.full(size, file)),
-                pa.array(np.full(size, block)),
+                pa.array([self.path] * size, pa.string()),
+                pa.array(np.full(size, self.block)),
                 pa.array(lines, pa.int64()),
             ],
             schema=_RECORDS,
@@ -214,15 +227,17 @@ def _records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from records.end()
 
 
-def read_quoted_records(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """Records of CSV files whose quoted fields may hold newlines: value, file, block, line.
+def read_quoted_records(
+    spark: SparkSession, paths: str | list[str], *, placed: bool = False
+) -> DataFrame:
+    """Records of CSV files whose quoted fields may hold newlines: value, file, block, row.
 
     A line belongs to a record that an earlier line began if the quotes before it are odd in
     number. A first scan counts the quotes of each block and keeps the text up to the first line
     with an odd number; prefix sums over the blocks of a file give the state at every block's start
     and the end of a record that reaches into the next block. A second scan puts the records
-    together. No text is shuffled, and a file of any size is read by many tasks. ``line`` counts
-    lines from the start of the block in which the record starts.
+    together. No text is shuffled, and a file of any size is read by many tasks. ``row`` counts
+    lines from the start of the block in which the record starts; ``file`` is null unless ``placed``.
 
     The table of blocks has one row per split, of which the driver holds a list as well when it
     plans the scan, and at most one piece of text per split; it is broadcast. Where a record reaches
@@ -230,9 +245,10 @@ def read_quoted_records(spark: SparkSession, paths: str | list[str]) -> DataFram
     """
     lines = read_blocks(spark, paths, "\n")
     states = _block_states(lines).withColumn("known", F.lit(True))
-    placed = lines.join(F.broadcast(states), ["file", "block"], "left")
+    known = lines.join(F.broadcast(states), ["file", "block"], "left")
     changed = F.raise_error(F.lit("a file was split differently in two scans"))
     opened = F.when(F.col("known"), F.col("open")).otherwise(changed)
-    return placed.select(
-        "value", "file", "block", opened.cast("boolean").alias("open"), "rest", "crlf"
-    ).mapInArrow(_records, "value string, file long, block long, line long")
+    needed = ["value", "file", "block", "rest", "crlf", *(["path"] if placed else [])]
+    return known.select(*needed, opened.cast("boolean").alias("open")).mapInArrow(
+        _records, "value string, file string, block long, row long"
+    )

@@ -13,13 +13,21 @@ from lodgestar.sources.blocks import read_quoted_records
 
 OPTIONS = {"quote": '"', "escape": '"'}
 
+# No column of a file is called so.
+PLACE = "lodgestar place"
+
 # Fields without quotes, or in quotes with each inner quote doubled. Never tried a second way.
 _FIELD = r'(?:"[^"]*+(?:""[^"]*+)*+"|[^",]*+)'
 _WELL_FORMED = rf"\A{_FIELD}(?:,{_FIELD})*+\z"
 
 
 def read_named_csv(
-    spark: SparkSession, paths: str | list[str], columns: Iterable[str], *, mode: str = "lines"
+    spark: SparkSession,
+    paths: str | list[str],
+    columns: Iterable[str],
+    *,
+    mode: str = "lines",
+    placed: bool = False,
 ) -> DataFrame:
     """Read string columns by header name (any case and order, further columns are ignored).
 
@@ -30,13 +38,15 @@ def read_named_csv(
     ``split``: newlines too, and files are split all the same, see ``read_quoted_records``. A quote
     within a field that does not start with one fails the job, as it would shift what is quoted.
     ``whole``: anything Spark's multi-line reader takes, one task per file.
+
+    ``placed`` adds the place of each row: file, block and row, see ``rejects.REJECT``.
     """
     columns = list(columns)
     if mode not in ("lines", "split", "whole"):
         raise ValueError(f"mode must be 'lines', 'split' or 'whole', not {mode!r}")
     if not isinstance(paths, str):
         # Each path has its own header; one read would bind all files by the first.
-        parts = [read_named_csv(spark, p, columns, mode=mode) for p in paths]
+        parts = [read_named_csv(spark, p, columns, mode=mode, placed=placed) for p in paths]
         return reduce(DataFrame.unionByName, parts)
     raw = (
         spark.read.option("header", True)
@@ -51,19 +61,32 @@ def read_named_csv(
     missing = [name for name in columns if name.lower() not in by_name]
     if missing:
         raise ValueError(f"columns {missing} not found in the header of {paths}")
+    chosen = [F.col(f"`{by_name[name.lower()]}`").alias(name) for name in columns]
+    place = []
     if mode == "split":
-        raw = _split(spark, paths, raw.columns)
-    return raw.select(*[raw[f"`{by_name[name.lower()]}`"].alias(name) for name in columns])
+        raw = _split(spark, paths, raw.columns, placed)
+        place = [F.col(f"`{PLACE}`.{name}").alias(name) for name in ("file", "block", "row")]
+    elif placed:
+        place = [
+            F.col("_metadata.file_path").alias("file"),
+            F.col("_metadata.file_block_start").alias("block"),
+            F.monotonically_increasing_id().alias("row"),
+        ]
+    return raw.select(*chosen, *(place if placed else ()))
 
 
-def _split(spark: SparkSession, path: str, names: list[str]) -> DataFrame:
-    """The columns ``names`` of all records but the header of each file."""
-    records = read_quoted_records(spark, path).where("value != ''")
+def _split(spark: SparkSession, path: str, names: list[str], placed: bool) -> DataFrame:
+    """The columns ``names`` of all records but the header of each file, and their place."""
+    records = read_quoted_records(spark, path, placed=placed).where("value != ''")
     schema = T.StructType([T.StructField(name, T.StringType()) for name in names])
-    is_header = (F.col("block") == 0) & (F.col("line") == 0)
+    is_header = (F.col("block") == 0) & (F.col("row") == 0)
     parsed = F.from_csv(_checked(F.col("value")), F.lit(schema.simpleString()), OPTIONS)
-    rows = records.select(is_header.alias("is_header"), parsed.alias("row"))
-    found = F.array(*[F.col("row").getField(name) for name in names])
+    rows = records.select(
+        is_header.alias("is_header"),
+        parsed.alias("record"),
+        F.struct("file", "block", "row").alias(PLACE),
+    )
+    found = F.array(*[F.col("record").getField(name) for name in names])
     differs = F.raise_error(
         F.concat(
             F.lit(f"CSV header does not conform to the schema of {path}: "),
@@ -72,7 +95,7 @@ def _split(spark: SparkSession, path: str, names: list[str]) -> DataFrame:
     )
     expected = F.array(*[F.lit(name) for name in names])
     keep = F.when(~F.col("is_header"), True).when(found == expected, False).otherwise(differs)
-    return rows.where(keep.cast("boolean")).select("row.*")
+    return rows.where(keep.cast("boolean")).select("record.*", f"`{PLACE}`")
 
 
 def _checked(record: Column) -> Column:

@@ -11,31 +11,51 @@ from pyspark.sql import types as T
 from lodgestar.functions import parsing
 from lodgestar.schemas import LISTING_FIELDS, REQUIRED_LISTING_FIELDS
 from lodgestar.sources.csv import read_named_csv
+from lodgestar.sources.rejects import reason, reject
 
 
-def _raw(spark: SparkSession, paths: dict[str, str], mode: str) -> DataFrame:
+def _raw(
+    spark: SparkSession, paths: dict[str, str], mode: str, placed: bool = False
+) -> DataFrame:
     # The tag is a literal per input, so a filter on city removes the other inputs from the plan.
     per_city = [
-        read_named_csv(spark, path, LISTING_FIELDS, mode=mode).withColumn("city", F.lit(city))
+        read_named_csv(spark, path, LISTING_FIELDS, mode=mode, placed=placed).withColumn(
+            "city", F.lit(city)
+        )
         for city, path in paths.items()
     ]
     return reduce(DataFrame.unionByName, per_city)
 
 
 def read_listings(
-    spark: SparkSession, paths: dict[str, str], *, on_error: str = "fail", mode: str = "split"
+    spark: SparkSession,
+    paths: dict[str, str],
+    *,
+    on_error: str = "fail",
+    mode: str = "split",
+    rejects: bool = False,
 ) -> DataFrame:
     """Typed listings of all cities with their ``city`` tag; ``paths`` maps city to file or folder.
 
     Titles may hold newlines. ``split`` reads a large file by many tasks all the same, ``whole`` is
-    for files with stray quotes, see ``read_named_csv``.
+    for files with stray quotes, see ``read_named_csv``. ``rejects`` (with ``on_error="null"``) adds
+    the column ``reject``; all listings count, without the values that cannot be read.
     """
-    raw = _raw(spark, paths, mode)
-    typed = [
-        parsing.cast(F.col(name), data_type, on_error).alias(name)
+    raw = _raw(spark, paths, mode, rejects)
+    typed = {
+        name: parsing.cast(F.col(name), data_type, on_error)
         for name, (data_type, _) in LISTING_FIELDS.items()
-    ]
-    return raw.select(*typed, "city")
+    }
+    told = []
+    if rejects:
+        parsing.check_lenient(on_error)
+        faults = [
+            reason(name, F.col(name), typed[name], required=required)
+            for name, (_, required) in LISTING_FIELDS.items()
+        ]
+        line = F.to_csv(F.struct(*LISTING_FIELDS))
+        told = [reject("listings", faults, line, F.lit(True))]
+    return raw.select(*[value.alias(name) for name, value in typed.items()], "city", *told)
 
 
 def rejected_listing_rows(

@@ -7,11 +7,14 @@ from pyspark.sql import functions as F
 
 from lodgestar.functions import parsing
 from lodgestar.sources.blocks import read_blocks, with_heads
+from lodgestar.sources.rejects import reason, reject
 from lodgestar.sources.splits import spread
 
 
-def _pieces(spark: SparkSession, paths: str | list[str], mode: str, prefix: str) -> DataFrame:
-    """Text pieces to search for records, column ``value``.
+def _pieces(
+    spark: SparkSession, paths: str | list[str], mode: str, prefix: str, placed: bool = False
+) -> DataFrame:
+    """Text pieces to search for records, column ``value``; ``placed`` adds file, block and row.
 
     ``split``: the reader cuts the files at line starts with ``prefix``, so one large file is read
     by many tasks, once, and no text is shuffled. Records that start otherwise are found within the
@@ -23,10 +26,17 @@ def _pieces(spark: SparkSession, paths: str | list[str], mode: str, prefix: str)
     ``whole``: each file is one piece, exact for any text, at most 2 GB per file.
     """
     if mode == "whole":
-        return spark.read.text(paths, wholetext=True)
+        whole = spark.read.text(paths, wholetext=True)
+        place = [
+            F.col("_metadata.file_path").alias("file"),
+            F.lit(0).cast("long").alias("block"),
+            F.lit(0).cast("long").alias("row"),
+        ]
+        return whole.select("value", *place) if placed else whole
     if mode != "split":
         raise ValueError(f"mode must be 'split' or 'whole', not {mode!r}")
-    pieces = with_heads(read_blocks(spark, paths, f"\n{prefix}"))
+    pieces = with_heads(read_blocks(spark, paths, f"\n{prefix}"), placed=placed)
+    place = ["file", "block", "row"] if placed else []
     value = F.when(F.col("head"), F.col("value")).otherwise(
         F.concat(F.lit(prefix), F.col("value"))
     )
@@ -37,12 +47,13 @@ def _pieces(spark: SparkSession, paths: str | list[str], mode: str, prefix: str)
         )
     )
     checked = F.when(parsing.has_open_comment(F.col("value")), error).otherwise(F.col("value"))
-    return pieces.select(value.alias("value")).select(checked.alias("value"))
+    return pieces.select(value.alias("value"), *place).select(checked.alias("value"), *place)
 
 
 def _records(pieces: DataFrame) -> DataFrame:
-    matches = pieces.select(F.explode(parsing.review_matches(F.col("value"))).alias("match"))
-    return matches.select(parsing.review_fields(F.col("match")).alias("field"))
+    place = [name for name in pieces.columns if name != "value"]
+    matches = pieces.select(*place, F.explode(parsing.review_matches(F.col("value"))).alias("match"))
+    return matches.select(*place, "match", parsing.review_fields(F.col("match")).alias("field"))
 
 
 def parse_reviews(pieces: DataFrame, *, on_error: str = "fail") -> DataFrame:
@@ -50,12 +61,25 @@ def parse_reviews(pieces: DataFrame, *, on_error: str = "fail") -> DataFrame:
 
     ``review_id`` tells equal reviews apart. Behind ``read_reviews`` it is made in the task that
     scans the text, from the position of the row, so a task that runs again gives the same ids.
+    Where the pieces have a place (file, block, row) the column ``reject`` is added.
     """
-    return _records(pieces).select(
+    records = _records(pieces)
+    listing_id = parsing.cast(F.col("field")[0], "long", on_error)
+    date = parsing.iso_date(F.col("field")[1], on_error)
+    told = []
+    if "file" in records.columns:
+        parsing.check_lenient(on_error)
+        faults = [
+            reason("listing_id", F.col("field")[0], listing_id),
+            reason("date", F.col("field")[1], date),
+        ]
+        told = [reject("reviews", faults, F.col("match"), F.lit(False))]
+    return records.select(
         F.monotonically_increasing_id().alias("review_id"),
-        parsing.cast(F.col("field")[0], "long", on_error).alias("listing_id"),
-        parsing.iso_date(F.col("field")[1], on_error).alias("date"),
+        listing_id.alias("listing_id"),
+        date.alias("date"),
         F.col("field")[2].alias("comment"),
+        *told,
     )
 
 
@@ -67,15 +91,16 @@ def read_reviews(
     on_error: str = "fail",
     partitions: int | None = None,
     prefix: str = parsing.REVIEW_PREFIX,
+    rejects: bool = False,
 ) -> DataFrame:
     """Reviews of all inputs in one scan; see ``_pieces`` for the two ways to cut the text.
 
-    ``prefix`` is what most records start with, at the start of a line.
-
-    ``partitions`` moves the reviews to so many tasks, for few large files read as a whole.
+    ``prefix`` is what most records start with, at the start of a line. ``partitions`` moves the
+    reviews to so many tasks, for few large files read as a whole. ``rejects`` (with
+    ``on_error="null"``) adds the column ``reject``; reviews without listing or date do not count.
     """
-    reviews = parse_reviews(_pieces(spark, paths, mode, prefix), on_error=on_error)
-    return spread(reviews, partitions, "review_id")
+    pieces = _pieces(spark, paths, mode, prefix, rejects)
+    return spread(parse_reviews(pieces, on_error=on_error), partitions, "review_id")
 
 
 def rejected_review_rows(

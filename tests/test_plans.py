@@ -13,10 +13,14 @@ WRITING = {
     "rejected_rows",
     "scan_calendar_csv",
     "scan_listings_csv",
+    "scan_listings_csv_whole",
     "scan_review_text_split",
     "scan_review_text_whole",
     "warehouse_append",
     "warehouse_full_load",
+    "warehouse_merge_load",
+    "warehouse_rejects",
+    "warehouse_run_ids",
     "warehouse_roundtrip",
 }
 

@@ -1,5 +1,6 @@
 import datetime
 import re
+from pathlib import Path
 
 import pytest
 from conftest import rows
@@ -8,11 +9,14 @@ from pyspark.sql import functions as F
 from test_sources import HEADER, write
 
 from lodgestar.__main__ import main
+from lodgestar.operators import dimensions, facts
 from lodgestar.operators.star import Star
 from lodgestar.plans import analyses, warehouse
+from lodgestar.plans.merge import merge_dimension
 from lodgestar.schemas import WAREHOUSE_TABLES
 from lodgestar.session import scratch_path
 from lodgestar.sources import RawLayout
+from lodgestar.staging import Staging, settings
 
 day = datetime.date
 
@@ -112,6 +116,198 @@ def test_listing_without_price_fails_the_load_or_counts_without_it(spark, raw):
     assert rows(paris, "available_listings_count", "prices_sum") == [(1, None)]
 
 
+def staged_databases(spark):
+    root = spark.conf.get("spark.checkpoint.dir").removeprefix("file:")
+    left = [p for p in Path(root).glob("lodgestar/staging-*")]
+    named = [d.name for d in spark.catalog.listDatabases() if d.name.startswith("lodgestar_staging")]
+    return left, named
+
+
+def test_staged_tables_are_gone_after_a_load(spark, raw):
+    warehouse.create_warehouse(spark, "cleaned")
+    warehouse.load_warehouse(spark, inputs(spark, raw), "cleaned")
+    assert staged_databases(spark) == ([], [])
+    write(raw / "review/ParisReviews.txt", "Review 5 for listing 3 by d on 2019-3-4:bad date\n")
+    with pytest.raises(PySparkException, match="not a date"):
+        warehouse.load_warehouse(spark, inputs(spark, raw), "cleaned")
+    assert staged_databases(spark) == ([], [])
+
+
+def test_day_joins_shuffle_nothing(spark, raw):
+    """Of bucketed tables only the sums per fact group move, also where no side is broadcast."""
+    given = inputs(spark, raw)
+    with Staging(spark) as staging, settings(
+        spark,
+        spark__sql__requireAllClusterKeysForCoPartition="false",
+        spark__sql__autoBroadcastJoinThreshold="-1",
+    ):
+        loading = warehouse._Loading(staging)
+        listings = loading.listings(given.listings)
+        reviews = loading.reviews(given.reviews, given.lexicon)
+        calendar = loading.calendar(given.calendar)
+        table = facts.fact_from_days(reviews, calendar, facts.listing_groups(listings))
+        plan = table._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("SortMergeJoin") == 2
+        shuffles = re.findall(r"Exchange (hashpartitioning\(\w+)", plan)
+        assert shuffles == ["hashpartitioning(neighbourhood"]
+        assert len(table.collect()) == 4
+
+
+def half(raw, tmp, keep):
+    """The raw files with the reviews whose number is in ``keep``."""
+    folder = tmp / f"half{min(keep)}"
+    for path in raw.rglob("*.*"):
+        text = path.read_text()
+        if "review" in str(path.parent):
+            found = re.findall(r"(Review (\d+) (?:.|\n)*?\n)(?=Review|\Z)", text)
+            text = "".join(record for record, number in found if int(number) in keep)
+        write(folder / path.relative_to(raw), text)
+    for name in ("positive", "negative"):
+        write(folder / "words" / name, (raw / "words" / name).read_text())
+    return folder
+
+
+@pytest.mark.parametrize("by_year", [False, True])
+def test_merged_halves_equal_one_load(spark, raw, tmp_path_factory, by_year):
+    # One fact group has reviews in both halves.
+    berlin = raw / "review/BerlinReviews.txt"
+    write(berlin, berlin.read_text() + "Review 6 for listing 1 by z on 2018-01-01:dirty\n")
+    tmp = tmp_path_factory.mktemp("halves")
+    one, two = f"one_{by_year}", f"two_{by_year}"
+    warehouse.create_warehouse(spark, one, fact_by_year=by_year)
+    warehouse.load_warehouse(spark, inputs(spark, raw), one)
+    warehouse.create_warehouse(spark, two, fact_by_year=by_year)
+    for keep in ({1, 3}, {2, 4, 6}, {5}):
+        part = half(raw, tmp, keep)
+        counts = warehouse.load_warehouse(spark, inputs(spark, part), two, merge=True)
+        assert counts["reviews"] == warehouse.Counts(len(keep), 0, 0)
+    for name in WAREHOUSE_TABLES:
+        assert rows(spark.table(f"{two}.{name}")) == rows(spark.table(f"{one}.{name}")), name
+    assert len(rows(spark.table(f"{two}.tof_reviews"))) == 4
+    with pytest.raises(ValueError):
+        warehouse.load_warehouse(spark, inputs(spark, raw), two, merge=True, row_id="run")
+
+
+def test_merge_replaces_only_the_years_it_touches(spark, raw, tmp_path_factory):
+    tmp = tmp_path_factory.mktemp("years")
+    warehouse.create_warehouse(spark, "years", fact_by_year=True)
+    warehouse.load_warehouse(spark, inputs(spark, half(raw, tmp, {1, 5})), "years", merge=True)
+
+    def files():
+        named = spark.table("years.tof_reviews").select("year", F.input_file_name().alias("file"))
+        return {year: file for year, file in rows(named.distinct())}
+
+    before = files()
+    warehouse.load_warehouse(spark, inputs(spark, half(raw, tmp, {2})), "years", merge=True)
+    after = files()
+    assert before[2019] == after[2019] and before[2018] != after[2018]
+
+
+def test_merged_dimensions_keep_the_smallest_row_of_a_key(spark):
+    warehouse.create_warehouse(spark, "merged")
+    schema = "id string, name string"
+
+    def merge(*hosts):
+        with Staging(spark) as staging:
+            merge_dimension(staging, spark.createDataFrame(hosts, schema), "dim_host", "merged")
+        return rows(spark.table("merged.dim_host"))
+
+    assert merge(("1", "Bob"), ("1", "Ann"), (None, "x")) == [(None, "x"), ("1", "Ann")]
+    assert merge(("1", "Cid"), ("2", None), (None, None)) == [(None, "x"), ("1", "Ann"), ("2", None)]
+    assert merge(("1", "Al"), ("2", "Eve"), ("3", "y")) == [
+        (None, "x"), ("1", "Al"), ("2", "Eve"), ("3", "y")
+    ]
+    assert merge() == [(None, "x"), ("1", "Al"), ("2", "Eve"), ("3", "y")]
+    places = "name string, group string, city string"
+    for found, kept in (
+        (("Mitte", "B", "PARIS"), ("Mitte", "B", "PARIS")),
+        (("Mitte", "A", "ROME"), ("Mitte", "B", "PARIS")),
+        (("Mitte", "C", "BERLIN"), ("Mitte", "C", "BERLIN")),
+    ):
+        with Staging(spark) as staging:
+            frame = spark.createDataFrame([found], places)
+            merge_dimension(staging, frame, "dim_neighbourhood", "merged")
+        assert rows(spark.table("merged.dim_neighbourhood")) == [kept]
+
+
+def test_rejected_rows_are_written_by_the_load(spark, raw):
+    write(
+        raw / "calendar/BerlinCalendar.csv",
+        "listing_id,date,available,price\n1,2018-01-01,f,\n2,2018-01-01,t,much\n2,2018-1-1,t,$1.00\n,x,t,\n",
+    )
+    paris = raw / "review/ParisReviews.txt"
+    write(paris, paris.read_text() + "Review 6 for listing 3 by d on 2019-3-4:bad\nReview 7 for listing"
+          " 99999999999999999999 by d on 2019-03-04:far\n")
+    listing = raw / "listing/ParisListings.csv"
+    write(listing, listing.read_text().replace(",90,1,7,", ",cheap,,7,"))
+    warehouse.create_warehouse(spark, "rejects")
+    counts = warehouse.load_warehouse(spark, inputs(spark, raw, on_error="null"), "rejects")
+    assert counts == {
+        "listings": warehouse.Counts(3, 1, 0),
+        "calendar": warehouse.Counts(5, 3, 2),
+        "reviews": warehouse.Counts(7, 2, 2),
+    }
+    table = spark.table("rejects.rejected_rows")
+    found = table.select("source", "reasons", "raw", "kept", F.element_at(F.split("file", "/"), -1))
+    assert rows(found) == [
+        ("calendar", ["date malformed"], "2,2018-1-1,t,$1.00", False, "BerlinCalendar.csv"),
+        ("calendar", ["listing_id missing", "date malformed"], ",x,t,", False, "BerlinCalendar.csv"),
+        ("calendar", ["price malformed"], "2,2018-01-01,t,much", True, "BerlinCalendar.csv"),
+        ("listings", ["price malformed", "minimum_nights missing"],
+         "3,Flat,11,Bob,Louvre,Louvre,48.8,2.3,Entire home/apt,cheap,,7,,,1,365", True, "ParisListings.csv"),
+        ("reviews", ["date malformed"], "Review 6 for listing 3 by d on 2019-3-4:bad", False, "ParisReviews.txt"),
+        ("reviews", ["listing_id malformed"],
+         "Review 7 for listing 99999999999999999999 by d on 2019-03-04:far", False, "ParisReviews.txt"),
+    ]
+    assert rows(table.select("source", "row").where("source != 'calendar'")) == [
+        ("listings", 1), ("reviews", 1), ("reviews", 2)
+    ]
+    wedding = spark.table("rejects.tof_reviews").where("neighbourhood = 'Wedding'")
+    assert rows(wedding, "available_listings_count", "prices_sum") == [(1, None)]
+    # Another load replaces the list as it replaces the tables.
+    warehouse.load_warehouse(spark, inputs(spark, raw, on_error="null"), "rejects")
+    assert spark.table("rejects.rejected_rows").count() == 6
+
+
+def test_run_ids_are_unique_over_appends(spark, raw):
+    warehouse.create_warehouse(spark, "runs")
+    for _ in range(3):
+        warehouse.load_warehouse(
+            spark, inputs(spark, raw), "runs", overwrite=False, row_id="run"
+        )
+    ids = [int(r[0]) for r in spark.table("runs.tof_reviews").select("id").collect()]
+    assert len(ids) == 3 * len(FACTS) and len(set(ids)) == len(ids)
+
+
+def test_written_order_of_dimensions(spark, raw):
+    """Files hold ranges that do not overlap, so that a filter on the order reads few of them."""
+    warehouse.create_warehouse(spark, "ordered")
+    days = spark.range(4_000).select(F.date_add(F.lit("2000-01-01"), F.col("id").cast("int")).alias("date"))
+    shuffled = dimensions.dim_date(days).orderBy(F.rand(3))
+    names = spark.range(4_000).select(
+        F.col("id").cast("string").alias("name"),
+        F.lit("g").alias("group"),
+        F.concat(F.lit("c"), F.lpad((F.col("id") % 40).cast("string"), 2, "0")).alias("city"),
+    )
+    with settings(spark, spark__sql__adaptive__coalescePartitions__enabled="false"):
+        warehouse.insert_rows(warehouse.in_written_order("dim_date", shuffled), "dim_date", "ordered")
+        warehouse.insert_rows(
+            warehouse.in_written_order("dim_neighbourhood", names), "dim_neighbourhood", "ordered"
+        )
+    for table, column, most in (("dim_date", "date", 1), ("dim_neighbourhood", "city", 1)):
+        ranges = rows(
+            spark.table(f"ordered.{table}")
+            .groupBy(F.input_file_name())
+            .agg(F.min(column).alias("low"), F.max(column).alias("high")),
+            "low",
+            "high",
+        )
+        assert len(ranges) > 2
+        assert all(high <= low for (_, high), (low, _) in zip(ranges, ranges[1:]))
+        one = ranges[1][0]
+        assert sum(low <= one <= high for low, high in ranges) <= most + 1
+
+
 def test_append_adds_and_overwrite_replaces(spark):
     warehouse.create_warehouse(spark, "modes")
     hosts = spark.createDataFrame([("1", "Ann")], "host_id string, host_name string")

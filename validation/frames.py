@@ -168,8 +168,11 @@ class Frames:
             insert_rows(rows, name, database)
         return database
 
-    def _records(self, plain: Column, quoted: Column) -> DataFrame:
-        """One text record per order with the document of its stay: quoted and plain in turn."""
+    def _records(self, plain: Column, quoted: Column, bad_dates: Column | None = None) -> DataFrame:
+        """One text record per order with the document of its stay: quoted and plain in turn.
+
+        Where ``bad_dates`` holds, the date has a digit too many.
+        """
         documents = self.table("documents").select("doc_id", "text")
         comment = F.when(
             F.col("review_id") % 2 == 0, F.concat(F.lit('"'), quoted, F.lit('"'))
@@ -181,21 +184,30 @@ class Frames:
             "listing_id",
             F.lit(" by a guest on "),
             F.date_format("date", "yyyy-MM-dd"),
+            F.when(F.lit(False) if bad_dates is None else bad_dates, "0").otherwise(""),
             F.lit(":"),
             comment,
         )
         joined = self.stays.join(documents, "doc_id")
         return joined.select("review_id", record.alias("value"))
 
+    def _whole_documents(self, bad_dates: Column | None = None) -> DataFrame:
+        quoted = F.translate("text", '"', "'")
+        plain = F.translate(quoted, LINE_BREAKS, " " * len(LINE_BREAKS))
+        return self._records(plain, quoted, bad_dates)
+
     @cached_property
     def review_records(self) -> DataFrame:
         """Records whose comments are whole documents.
 
         As in a dump, a comment holds no quotes, and one that is not quoted no line breaks.
         """
-        quoted = F.translate("text", '"', "'")
-        plain = F.translate(quoted, LINE_BREAKS, " " * len(LINE_BREAKS))
-        return self._records(plain, quoted)
+        return self._whole_documents()
+
+    @cached_property
+    def faulty_records(self) -> DataFrame:
+        """The same, but a tenth of them has no valid date."""
+        return self._whole_documents(F.col("review_id") % 10 == 3)
 
     @cached_property
     def awkward_records(self) -> DataFrame:

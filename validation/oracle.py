@@ -179,6 +179,20 @@ _FACT_STAR = """
 FROM facts f JOIN dim_neighbourhood n ON f.neighbourhood = n.name
 JOIN dim_date d ON f.date = d.date JOIN dim_room_type t ON f.room_type = t.room_type"""
 
+_REJECTS = """
+SELECT 'listings' AS source, 'price missing' AS reason, true AS kept,
+       count(*) FILTER (WHERE room_type = 'BUILDING') AS listed, count(*) AS counted_rows,
+       count(*) FILTER (WHERE room_type = 'BUILDING') AS counted_rejected, 0 AS counted_left_out
+FROM listings
+UNION ALL
+SELECT 'calendar', 'date malformed', false, count(*) FILTER (WHERE NOT available), count(*),
+       count(*) FILTER (WHERE NOT available), count(*) FILTER (WHERE NOT available)
+FROM calendar
+UNION ALL
+SELECT 'reviews', 'date malformed', false, count(*) FILTER (WHERE o_orderkey % 10 = 3), count(*),
+       count(*) FILTER (WHERE o_orderkey % 10 = 3), count(*) FILTER (WHERE o_orderkey % 10 = 3)
+FROM records"""
+
 # Spark rounds the shortest decimal text of a double, so the SQL does the same.
 _HOST_RATINGS = f"""
 host_ratings AS (
@@ -241,6 +255,7 @@ def all_oracle_sql() -> dict[str, str]:
     nulls = ", ".join(f"count(*) - count({name}) AS {name}" for name in required)
     return {
         "scan_listings_csv": _with([_LISTINGS], "SELECT * FROM listings"),
+        "scan_listings_csv_whole": _with([_LISTINGS], "SELECT * FROM listings"),
         "scan_calendar_csv": _with([_CALENDAR], calendar_rows),
         "scan_review_text_whole": _with([_RECORDS], records),
         "scan_review_text_split": _with([_RECORDS], records),
@@ -335,4 +350,7 @@ def all_oracle_sql() -> dict[str, str]:
             UNION ALL SELECT name, "group", city FROM dim_neighbourhood""",
         ),
         "warehouse_full_load": _with(_LOADED, _STAR_ROWS),
+        "warehouse_merge_load": _with(_LOADED, _STAR_ROWS),
+        "warehouse_rejects": _with([_LISTINGS, _CALENDAR, _RECORDS], _REJECTS),
+        "warehouse_run_ids": _star("SELECT 2 * count(*) AS facts, 2 * count(*) AS ids FROM facts"),
     }

@@ -52,10 +52,11 @@ def _rounded(name: str, digits: int = 4) -> Column:
 # --- raw files ----------------------------------------------------------------------------------
 
 
-def _write_listings(frames: Frames) -> dict[str, str]:
+def _write_listings(frames: Frames, listings: DataFrame | None = None) -> dict[str, str]:
     path = scratch_path(frames.spark, "raw-listings")
     options = {"header": True, "quote": '"', "escape": '"'}
-    frames.listings.write.partitionBy("city").options(**options).csv(path)
+    rows = frames.listings if listings is None else listings
+    rows.write.partitionBy("city").options(**options).csv(path)
     return {city: f"{path}/city={city}" for city in frames.cities}
 
 
@@ -68,15 +69,23 @@ def _raw_calendar(frames: Frames) -> DataFrame:
     )
 
 
-def _write_calendar(frames: Frames) -> str:
+def _unpadded(frames: Frames) -> DataFrame:
+    """Calendar rows in which dates of unavailable days lack their padding."""
+    date = F.when(F.col("available") == "f", F.lit("2018-1-2")).otherwise(F.col("date"))
+    return _raw_calendar(frames).withColumn("date", date)
+
+
+def _write_calendar(frames: Frames, calendar: DataFrame | None = None) -> str:
     path = scratch_path(frames.spark, "raw-calendar")
-    _raw_calendar(frames).write.options(header=True, quote='"', escape='"').csv(path)
+    rows = _raw_calendar(frames) if calendar is None else calendar
+    rows.write.options(header=True, quote='"', escape='"').csv(path)
     return path
 
 
-def _write_reviews(frames: Frames) -> str:
+def _write_reviews(frames: Frames, records: DataFrame | None = None) -> str:
     path = scratch_path(frames.spark, "raw-reviews")
-    frames.review_records.select("value").write.text(path)
+    rows = frames.review_records if records is None else records
+    rows.select("value").write.text(path)
     return path
 
 
@@ -93,6 +102,11 @@ def scan_listings_csv(frames: Frames) -> DataFrame:
     return read_listings(frames.spark, _write_listings(frames))
 
 
+@query
+def scan_listings_csv_whole(frames: Frames) -> DataFrame:
+    return read_listings(frames.spark, _write_listings(frames), mode="whole")
+
+
 @query
 def scan_calendar_csv(frames: Frames) -> DataFrame:
     return read_calendar(frames.spark, _write_calendar(frames))
@@ -173,10 +187,7 @@ def strict_listings(frames: Frames) -> DataFrame:
 @query
 def rejected_rows(frames: Frames) -> DataFrame:
     """Calendar file in which dates of unavailable days lack their padding."""
-    path = scratch_path(frames.spark, "raw-calendar-rejects")
-    unpadded = F.when(F.col("available") == "f", F.lit("2018-1-2")).otherwise(F.col("date"))
-    raw = _raw_calendar(frames).withColumn("date", unpadded)
-    raw.write.options(header=True, quote='"', escape='"').csv(path)
+    path = _write_calendar(frames, _unpadded(frames))
     return rejected_calendar_rows(frames.spark, path).select("listing_id", "date", "available")
 
 
@@ -344,6 +355,13 @@ def warehouse_append(frames: Frames) -> DataFrame:
     return Star.from_catalog(frames.spark, database).neighbourhood
 
 
+def _star_rows(spark: SparkSession, database: str) -> DataFrame:
+    joined = star_join(Star.from_catalog(spark, database)).drop("id")
+    return joined.withColumn("prices_sum", F.round("prices_sum", 2)).withColumn(
+        "ratings_sum", F.round("ratings_sum", 4)
+    )
+
+
 @query
 def warehouse_full_load(frames: Frames) -> DataFrame:
     """Raw files, full load into tables partitioned by year, then the star join."""
@@ -358,7 +376,63 @@ def warehouse_full_load(frames: Frames) -> DataFrame:
     )
     database = new_database(spark, fact_by_year=True)
     warehouse.load_warehouse(spark, inputs, database)
-    joined = star_join(Star.from_catalog(spark, database)).drop("id")
-    return joined.withColumn("prices_sum", F.round("prices_sum", 2)).withColumn(
-        "ratings_sum", F.round("ratings_sum", 4)
+    return _star_rows(spark, database)
+
+
+@query
+def warehouse_merge_load(frames: Frames) -> DataFrame:
+    """Reviews in two loads, the second merged with the first: the same tables as by one load."""
+    spark = frames.spark
+    listings = read_listings(spark, _write_listings(frames))
+    calendar = read_calendar(spark, _write_calendar(frames))
+    database = new_database(spark, fact_by_year=True)
+    odd = F.col("review_id") % 2 == 1
+    for records in (frames.review_records.where(odd), frames.review_records.where(~odd)):
+        reviews = read_reviews(spark, _write_reviews(frames, records))
+        inputs = warehouse.Inputs(listings, calendar, reviews, frames.lexicon)
+        warehouse.load_warehouse(spark, inputs, database, merge=True)
+    return _star_rows(spark, database)
+
+
+@query
+def warehouse_rejects(frames: Frames) -> DataFrame:
+    """A lenient load of faulty files: rows it counted, and the rows it listed by reason."""
+    spark = frames.spark
+    holes = F.when(F.col("room_type") != "BUILDING", F.col("price"))
+    lenient = {"on_error": "null", "rejects": True}
+    inputs = warehouse.Inputs(
+        read_listings(
+            spark, _write_listings(frames, frames.listings.withColumn("price", holes)), **lenient
+        ),
+        read_calendar(spark, _write_calendar(frames, _unpadded(frames)), **lenient),
+        read_reviews(spark, _write_reviews(frames, frames.faulty_records), **lenient),
+        frames.lexicon,
+    )
+    database = new_database(spark, fact_by_year=True)
+    counts = warehouse.load_warehouse(spark, inputs, database)
+    listed = spark.table(f"{database}.{warehouse.REJECT_TABLE}")
+    reasons = listed.select("source", F.explode("reasons").alias("reason"), "kept")
+    by_reason = reasons.groupBy("source", "reason", "kept").agg(F.count(F.lit(1)).alias("listed"))
+
+    def counted(name: str) -> Column:
+        pairs = [(F.lit(source), F.lit(getattr(c, name))) for source, c in counts.items()]
+        numbers = F.create_map(*[part for pair in pairs for part in pair])
+        return F.element_at(numbers, F.col("source")).cast("long").alias(f"counted_{name}")
+
+    return by_reason.select("*", *[counted(n) for n in ("rows", "rejected", "left_out")])
+
+
+@query
+def warehouse_run_ids(frames: Frames) -> DataFrame:
+    """Facts numbered by run and appended twice: their number and that of their ids."""
+    database = new_database(frames.spark, fact_by_year=True)
+    days = (facts.review_days(frames.rated), facts.calendar_days(frames.calendar))
+    groups = facts.listing_groups(frames.listings)
+    for _ in range(2):
+        first = warehouse.next_run_id(frames.spark, database)
+        rows = facts.fact_from_days(*days, groups, row_id="run", first_id=first)
+        warehouse.insert_rows(rows, "tof_reviews", database, overwrite=False)
+    table = Star.from_catalog(frames.spark, database).fact
+    return table.agg(
+        F.count(F.lit(1)).alias("facts"), F.count_distinct("id").alias("ids")
     )

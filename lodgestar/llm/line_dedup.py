@@ -58,6 +58,14 @@ def _windows(docs: DataFrame, key: str, text: str) -> DataFrame:
     return rows.select(F.struct("id", "content").alias("own"), "at", "h1", "h2")
 
 
+def _unused(name: str, taken: list[str]) -> str:
+    """``name``, made longer until no column is called so, in any case."""
+    known = {column.lower() for column in taken}
+    while name in known:
+        name += "_"
+    return name
+
+
 def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with ``n_lines``, ``n_removed`` and ``kept_text``.
 
@@ -69,9 +77,10 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     Null and empty texts have no lines and keep an empty text. Rows of equal id and text are the
     same document and keep the same lines; of rows with equal id and different texts the smaller
     text hash comes first. A document of which nothing is left stays as a row with an empty text.
+    Columns of other names are handed on, whatever they are called. An empty table has an empty
+    result.
     """
     docs = docs.drop("n_lines", "n_removed", "kept_text")
-    content = F.xxhash64(F.col(text))
     windows = _windows(docs, key, text)
     first = windows.groupBy("h1", "h2").agg(
         F.min(F.struct("own", "at")).alias("first"), F.count("*").alias("n")
@@ -83,20 +92,23 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
         | ((F.col("own") == F.col("first.own")) & (F.col("at") >= F.col("first.at") + LINES))
     )
     covered = later.groupBy("own").agg(F.collect_set("at").alias("starts"))
-    covered = stage(covered, "covered-lines").select(
-        F.col("own.id").alias("id_"), F.col("own.content").alias("content_"), "starts"
+    covered = stage(covered, "covered-lines")
+    # The documents as one column, so that none of their names can meet another.
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"))
+    own = F.struct(
+        F.col("doc").getField(key).cast("long").alias("id"),
+        F.xxhash64(F.col("doc").getField(text)).alias("content"),
     )
     # What is covered grows with the corpus: never broadcast, so the plan is the same at every size.
-    joined = docs.join(
-        covered.hint("merge"), F.col(key).eqNullSafe(F.col("id_")) & (content == F.col("content_")), "left"
-    )
-    joined = joined.select(*docs.columns, "starts")
+    joined = whole.withColumn("own", own).join(covered.hint("merge"), "own", "left")
+    starts = _unused("starts", docs.columns)
+    joined = joined.select("doc.*", F.col("starts").alias(starts))
 
     def handle(rows: dict[str, list]) -> dict[str, list]:
         counts, removed, kept = [], [], []
-        for body, starts in zip(rows[text], rows.pop("starts"), strict=True):
+        for body, windows_ in zip(rows[text], rows.pop(starts), strict=True):
             lines = split_lines(body)
-            gone = {start + i for start in starts or () for i in range(LINES)}
+            gone = {start + i for start in windows_ or () for i in range(LINES)}
             counts.append(len(lines))
             removed.append(len(gone))
             kept.append("\n".join(line for at, line in enumerate(lines) if at not in gone))

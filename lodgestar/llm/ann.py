@@ -126,15 +126,19 @@ def search(
 
     Rows of the query's own id are no candidates. Nearest first by Euclidean distance in double
     precision, ties to the smaller id; all candidates if there are fewer than ``k``. Vectors that
-    are null, zero or hold null or non-finite components take no part.
+    are null, zero or hold null or non-finite components take no part, nor do rows without a key.
+    Vectors of different lengths never meet. Rows that repeat count as rows; equal rows among the
+    queries are one query. Other columns are not read. An empty table has an empty result.
 
     Shards by hash hold about ``SHARD`` vectors, blocks of queries about ``QUERIES``; each pair of
     a shard and a block is one task group, so its size does not depend on the data. With
     ``factor`` 1 the result is exact.
     """
     points = vectors.select(F.col(key).cast("long").alias("id"), F.col(vector).alias("vector"))
+    points = points.withColumn("size", F.size("vector"))
     points = stage(points.where(_finite(F.col("vector")) & F.col("id").isNotNull()), "ann-points")
     asked = queries.select(F.col(key).cast("long").alias("id"), F.col(vector).alias("vector"))
+    asked = asked.distinct().withColumn("size", F.size("vector"))
     asked = stage(asked.where(_finite(F.col("vector")) & F.col("id").isNotNull()), "ann-queries")
     shards = max(1, -(-points.count() // SHARD))
     blocks = max(1, -(-asked.count() // QUERIES))
@@ -162,7 +166,8 @@ def search(
             }
         )
 
-    pairs = placed.groupBy("shard", "block").cogroup(dealt.groupBy("shard", "block"))
+    group = ("size", "shard", "block")
+    pairs = placed.groupBy(*group).cogroup(dealt.groupBy(*group))
     best = pairs.applyInPandas(near, "query_id long, member long, score double")
     order = Window.partitionBy("query_id").orderBy("score", "member")
     ranked = best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)

@@ -166,7 +166,9 @@ def near_duplicates(
     Vectors that are null, zero or hold null or non-finite components link with nothing. Equal
     vectors are one class from the start; a class with itself counts as links. A tile pair returns
     counts and a spanning set of its links, at most two rows per vector, never pairs. Vectors of
-    another length than most fail. Rows of equal key count as rows, and share their component.
+    another length than most (of equally frequent lengths, the smaller) link with equal ones only.
+    Rows of equal key count as rows, and share their component. Other columns are not read. An
+    empty table has an empty result.
     """
     rows = vectors.select(F.col(key).cast("long").alias("member"), F.col(vector).alias("vector"))
     good = rows.where(usable(F.col("vector")))
@@ -174,7 +176,10 @@ def near_duplicates(
         F.min("member").alias("member"), F.count("*").alias("copies")
     )
     classes = stage(classes.select("member", "vector", "copies"), "vector-classes")
-    axes = principal_axes(classes)
+    lengths = classes.groupBy(F.size("vector").alias("size")).agg(F.sum("copies").alias("n"))
+    usual = lengths.orderBy(F.desc("n"), "size").first()
+    alike = classes.where(F.size("vector") == (usual.size if usual else 0))
+    axes = principal_axes(alike)
     none = "member long, n long, root long"
     if axes.size == 0:
         found = vectors.sparkSession.createDataFrame([], none)
@@ -203,7 +208,7 @@ def near_duplicates(
             out.append(_spanning(ids_a[i], ids_b[j]))
             return pd.concat(out, ignore_index=True)
 
-        tiles = _tiled(classes, axes, threshold)
+        tiles = _tiled(alike, axes, threshold)
         found = stage(tiles.groupBy("l", "r").applyInPandas(compare, none), "vector-links")
     counts = found.where("n > 0").groupBy("member").agg(F.sum("n").alias("n"))
     components = connected_components(found.where("n = 0").selectExpr("member AS a", "root AS b"))

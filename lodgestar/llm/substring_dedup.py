@@ -5,26 +5,30 @@ hash; equal windows have equal anchors, so only anchors have to be counted over
 the words. The smallest document with an anchor owns it. Then:
 
 1. *Confirm*: anchors that occur in two documents recur; the windows around them are the passages.
-2. *Compile*: the owners' passages, cut into tiles of 7 words, are the phrases of Aho-Corasick automata,
-   sharded by owner. Every window of 13 words holds a whole tile.
-3. *Stream*: every passage is read by the automaton of its owner's shard. A window around a tile that
-   also stands in an owner's passage is repeated.
-4. Passages that share an anchor with their owner but not the window are compared among themselves by
-   128-bit window hashes.
-
-Documents without a recurring anchor have no repeated window and are not read again before the end.
+2. *Compile*: the windows of the owners' passages are the phrases of Aho-Corasick automata, sharded by
+   owner. A phrase carries the smallest document that holds it.
+3. *Stream*: every passage of every other document is read by the automaton of its owner's shard, which
+   locates all occurrences of the phrases. An occurrence is repeated if its phrase is held by a smaller
+   document; nothing else decides.
+4. Passages may share an anchor with its owner but not the window. Windows that no automaton has found
+   and that recur among themselves are confirmed by their own hash, owned by their smallest document,
+   and go through steps 2 and 3 again, until none is left.
+
+Hashes only bring equal windows together; words are compared by the automata. Documents without a
+recurring anchor have no repeated window and are not read again before the end.
 """
 
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Callable
 from functools import lru_cache
 
 import ahocorasick
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodgestar.llm.text import by_batch, split_words
@@ -32,13 +36,13 @@ from lodgestar.session import stage
 
 WINDOW = 13
 ANCHOR = 5
-TILE = (WINDOW + 1) // 2
 #: Characters of passages that are searched together.
-SHARD_CHARS = 4 << 20
+SHARD_CHARS = 2 << 20
+#: Words are spelled by this many signs, so that an automaton has one node for a word.
+SIGNS = 0xD000
 
 _BASE = 0x9E3779B97F4A7C15
 _WORD, _PHRASE, _FULL = 0xD6E8FEB86659FD93, 0xC2B2AE3D27D4EB4F, 0xA0761D6478BD642F
-_BITS = (1 << 64) - 1
 
 
 # --- hashes -------------------------------------------------------------------------------------
@@ -126,19 +130,32 @@ def _anchor_rows(docs: DataFrame) -> DataFrame:
 _PIECES = [("owner", pa.int64()), ("id", pa.int64()), ("content", pa.int64()), ("at", pa.int64())]
 
 
-def _passages(docs: DataFrame) -> DataFrame:
-    """Passages of documents with their recurring anchors ``(h, owner)``: one row per owner and run."""
+def _by_anchor(words: list[bytes]) -> np.ndarray:
+    """The hash of each window's anchor."""
+    phrases, at = anchors(word_hashes(words))
+    return phrases[at]
+
+
+def _by_window(words: list[bytes]) -> np.ndarray:
+    """The hash of each window."""
+    return phrase_hashes(word_hashes(words), WINDOW, _FULL)
+
+
+def _passages(docs: DataFrame, marks: Callable[[list[bytes]], np.ndarray]) -> DataFrame:
+    """Passages of documents with their recurring marks ``(h, owner)``: one row per owner and run.
+
+    ``marks`` gives the hash by which a window is told to recur.
+    """
 
     def handle(rows: dict[str, list]) -> dict[str, list]:
         out: dict[str, list] = {n: [] for n in ("owner", "id", "content", "at", "piece")}
         columns = (rows[n] for n in ("id", "content", "text", "h", "owner"))
         for doc, content, text, hashes, owners in zip(*columns, strict=True):
             words = split_words(text)
-            phrases, at = anchors(word_hashes(words))
             known = np.array(hashes, np.int64).view(np.uint64)
             order = np.argsort(known)
             known, owner_of = known[order], np.array(owners, np.int64)[order]
-            wanted = phrases[at]
+            wanted = marks(words)
             place = np.minimum(np.searchsorted(known, wanted), len(known) - 1)
             recurs = known[place] == wanted
             owner_at = owner_of[place]
@@ -152,7 +169,8 @@ def _passages(docs: DataFrame) -> DataFrame:
         return out
 
     schema = pa.schema([*_PIECES, ("piece", pa.string())])
-    return docs.mapInArrow(
+    columns = ("id", "content", "text", "h", "owner")
+    return docs.select(*columns).mapInArrow(
         by_batch(handle, schema), "owner long, id long, content long, at long, piece string"
     )
 
@@ -160,67 +178,80 @@ def _passages(docs: DataFrame) -> DataFrame:
 # --- 2. and 3. compile and stream ----------------------------------------------------------------
 
 
-def _automaton(pieces: list[list[str]]) -> ahocorasick.Automaton:
-    found = ahocorasick.Automaton(ahocorasick.STORE_LENGTH)
-    for words in pieces:
-        for at in range(0, len(words) - TILE + 1, TILE):
-            found.add_word(" " + " ".join(words[at : at + TILE]) + " ")
-        found.add_word(" " + " ".join(words[-TILE:]) + " ")
-    found.make_automaton()
-    return found
-
-
-def _near_tiles(automaton: ahocorasick.Automaton, text: str, words: list[bytes]) -> np.ndarray:
-    """Whether the window at each word of ``text`` holds a tile of the automaton."""
-    ends = np.fromiter((e for e, _ in automaton.iter(text)), np.int64)
-    # Positions of the space after each word, in characters as the automaton counts them.
-    codes = np.array(text, dtype=f"<U{len(text)}").reshape(1).view(np.uint32)
-    after = np.flatnonzero(codes == ord(" "))[1:]
-    hit = np.zeros(len(words) + 1, np.int64)
-    hit[np.searchsorted(after, ends) - TILE + 1] = 1  # first word of a tile
-    upto = np.concatenate([[0], np.cumsum(hit)])
-    starts = np.arange(max(0, len(words) - WINDOW + 1))
-    return upto[starts + WINDOW - TILE + 1] - upto[starts] > 0
+class Phrases:
+    """The windows of owners' passages as an automaton over words.
 
+    Each word of the passages is spelled by one sign, or by two where there are too many; all other
+    words are spelled alike by a sign that no phrase holds.
+    """
 
-#: Stands between passages that are read as one text; no word holds it.
-_BREAK = "\n"
+    def __init__(self, passages: list[list[bytes]], holders: list[int]) -> None:
+        self.codes: dict[bytes, int] = {}
+        for words in passages:
+            for word in words:
+                self.codes.setdefault(word, len(self.codes) + 1)
+        self.width = 1 if len(self.codes) < SIGNS - 1 else 2
+        self.automaton = ahocorasick.Automaton()
+        size = WINDOW * self.width
+        # The smallest holder of a phrase comes first and stays.
+        for n in sorted(range(len(passages)), key=holders.__getitem__):
+            text = self.spelled(passages[n])
+            for at in range(0, len(text) - size + 1, self.width):
+                phrase = text[at : at + size]
+                if phrase not in self.automaton:
+                    self.automaton.add_word(phrase, holders[n])
+        self.automaton.make_automaton()
+
+    def spelled(self, words: list[bytes]) -> str:
+        codes = np.fromiter((self.codes.get(w, 0) for w in words), np.int64, len(words))
+        if self.width == 2:
+            codes = np.stack([codes // SIGNS, codes % SIGNS], axis=1).ravel()
+        return codes.astype("<u2").tobytes().decode("utf-16-le")
+
+    def occurrences(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """First word and smallest holder of every phrase found in ``words``."""
+        if not len(self.automaton):
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        kind = [("end", np.int64), ("holder", np.int64)]
+        found = np.fromiter(self.automaton.iter(self.spelled(words)), kind)
+        ends = found["end"] + 1
+        aligned = ends % self.width == 0
+        return ends[aligned] // self.width - WINDOW, found["holder"][aligned]
+
+
+#: Stands between passages that are read as one text; no word is empty.
+_BREAK = b""
+
+
+def _joined(pieces: pd.Series) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """All passages as one list of words, and per window its passage and whether it is in one."""
+    parts = [piece.encode().split(b" ") for piece in pieces]
+    words = [word for part in parts for word in (*part, _BREAK)][:-1]
+    sizes = np.fromiter(map(len, parts), np.int64, len(parts))
+    piece = np.repeat(np.arange(len(parts)), sizes + 1)[:-1]
+    ends = np.cumsum(sizes + 1) - 1  # where the breaks are
+    starts = np.arange(max(0, len(words) - WINDOW + 1))
+    return words, piece[starts], starts + WINDOW <= ends[piece[starts]]
 
 
-def _joined(pieces: pd.Series) -> tuple[str, list[bytes], np.ndarray, np.ndarray]:
-    """All passages as one text: its words, and per window its passage and whether it is in one."""
-    text = f" {f' {_BREAK} '.join(pieces)} "
-    words = text.encode()[1:-1].split(b" ")
-    breaks = np.fromiter((w == b"\n" for w in words), np.int64, len(words))
-    upto = np.concatenate([[0], np.cumsum(breaks)])
-    starts = np.arange(max(0, len(words) - WINDOW + 1))
-    return text, words, upto[starts], upto[starts + WINDOW] == upto[starts]
+_NOTHING = {"id": [], "content": [], "starts": [], "ends": [], "h": []}
 
 
 def _search(group: pd.DataFrame) -> pd.DataFrame:
-    """Of the passages of one shard, repeated ranges, and the windows that their owners lack."""
+    """Of the passages of one shard, repeated ranges, and windows that no phrase has matched."""
     is_own = group["id"] == group["owner"]
     own, stream = group[is_own], group[~is_own]
-    nothing = {n: [] for n in ("id", "content", "starts", "ends", "h1", "h2")}
     if not len(stream):
-        return pd.DataFrame(nothing)
-    text, words, piece, whole = _joined(stream["piece"])
-    hashes = word_hashes(words)
-    full = phrase_hashes(hashes, WINDOW, _FULL)
+        return pd.DataFrame(_NOTHING)
+    phrases = Phrases([p.encode().split(b" ") for p in own["piece"]], own["id"].tolist())
+    words, piece, whole = _joined(stream["piece"])
     ids, contents, firsts = (stream[n].to_numpy() for n in ("id", "content", "at"))
-    # Word 0 of each passage in the joined text, to which breaks add one word each.
+    # Word 0 of each passage in the joined list, to which breaks add one word each.
     sizes = np.fromiter((p.count(" ") + 2 for p in stream["piece"]), np.int64, len(stream))
     offset = firsts - np.concatenate([[0], np.cumsum(sizes)[:-1]])
-    repeated = np.zeros(len(full), bool)
-    if len(own):
-        _, own_words, own_piece, own_whole = _joined(own["piece"])
-        known = phrase_hashes(word_hashes(own_words), WINDOW, _FULL)[own_whole]
-        holders = own["id"].to_numpy()[own_piece[own_whole]]
-        order = np.lexsort((holders, known))
-        known, holders = known[order], holders[order]  # the smallest holder comes first
-        place = np.minimum(np.searchsorted(known, full), len(known) - 1)
-        repeated = whole & (known[place] == full) & (holders[place] < ids[piece])
-        repeated &= _near_tiles(_automaton([p.split(" ") for p in own["piece"]]), text, words)
+    repeated = np.zeros(len(piece), bool)
+    at, holders = phrases.occurrences(words)
+    repeated[at] = holders < ids[piece[at]]
     out = []
     at = np.flatnonzero(repeated)
     if len(at):
@@ -228,24 +259,26 @@ def _search(group: pd.DataFrame) -> pd.DataFrame:
         first = at[np.concatenate([[True], new])]
         last = at[np.concatenate([new, [True]])]
         own_of = piece[first]
-        out.append((ids[own_of], contents[own_of], first + offset[own_of], last + offset[own_of] + WINDOW))
+        found = (ids[own_of], contents[own_of], first + offset[own_of], last + offset[own_of] + WINDOW)
+        ranges = pd.DataFrame(dict(zip(_NOTHING, found)))
+        # Not through floating point, which would round hashes.
+        out.append(ranges.assign(h=pd.array([None] * len(ranges), dtype="Int64")))
     open_ = np.flatnonzero(whole & ~repeated)
     own_of = piece[open_]
     start = open_ + offset[own_of]
-    ranges = pd.DataFrame(dict(zip(nothing, out[0]))) if out else pd.DataFrame()
     left = {
         "id": ids[own_of],
         "content": contents[own_of],
         "starts": start,
         "ends": start + WINDOW,
-        "h1": full[open_].view(np.int64),
-        "h2": phrase_hashes(hashes, WINDOW, _BASE)[open_].view(np.int64),
+        "h": pd.array(
+            phrase_hashes(word_hashes(words), WINDOW, _FULL)[open_].view(np.int64), dtype="Int64"
+        ),
     }
-    both = pd.concat([ranges, pd.DataFrame(left)], ignore_index=True)
-    return both.astype({"h1": "Int64", "h2": "Int64"})
+    return pd.concat([*out, pd.DataFrame(left)], ignore_index=True)
 
 
-_FOUND = "id long, content long, starts long, ends long, h1 long, h2 long"
+_FOUND = "id long, content long, starts long, ends long, h long"
 
 
 def _sharded(pieces: DataFrame) -> DataFrame:
@@ -282,25 +315,35 @@ def _sharded(pieces: DataFrame) -> DataFrame:
 # --- all ----------------------------------------------------------------------------------------
 
 
+def _marks() -> Column:
+    # No more than a document has words.
+    return F.collect_list(F.struct("h", "owner")).alias("held")
+
+
 def repeated_ranges(docs: DataFrame) -> DataFrame:
     """``(id, content, starts, ends)``: word ranges of ``docs (id, content, text)`` that repeat."""
     named = docs.where("id IS NOT NULL")
-    rows = _anchor_rows(named)
+    rows = stage(_anchor_rows(named), "anchor-rows")
     recurring = rows.groupBy("h").agg(F.min("id").alias("owner"), F.max("id").alias("last"))
     recurring = stage(recurring.where("owner < last").select("h", "owner"), "anchors")
-    held = rows.join(recurring, "h").groupBy("id").agg(
-        F.collect_list(F.struct("h", "owner")).alias("held")
-    )
+    held = rows.join(recurring, "h").groupBy("id").agg(_marks())
     held = stage(held.selectExpr("id", "held.h AS h", "held.owner AS owner"), "anchors-held")
-    pieces = stage(_passages(named.join(held, "id")), "passages")
-    groups = _sharded(pieces).groupBy("shard", "large", "salt")
-    found = stage(groups.applyInPandas(_search, _FOUND), "passages-found")
-    left = found.where("h1 IS NOT NULL")
-    among = left.groupBy("h1", "h2").agg(F.min("id").alias("first"), F.max("id").alias("last"))
-    among = stage(among.where("first < last").drop("last"), "windows-left")
-    later = left.join(among, ["h1", "h2"]).where("id > first")
-    columns = ("id", "content", "starts", "ends")
-    ranges = found.where("h1 IS NULL").select(*columns).union(later.select(*columns))
+    pieces = _passages(named.join(held, "id"), _by_anchor)
+    ranges = None
+    while True:
+        groups = _sharded(stage(pieces, "passages")).groupBy("shard", "large", "salt")
+        found = stage(groups.applyInPandas(_search, _FOUND), "passages-found")
+        repeated = found.where("h IS NULL").drop("h")
+        ranges = repeated if ranges is None else ranges.union(repeated)
+        left = found.where("h IS NOT NULL")
+        among = left.groupBy("h").agg(F.min("id").alias("owner"), F.max("id").alias("last"))
+        among = stage(among.where("owner < last").drop("last"), "windows-left")
+        if among.isEmpty():
+            break
+        held = left.select("id", "content", "h").distinct().join(among, "h")
+        held = held.groupBy("id", "content").agg(_marks())
+        held = held.selectExpr("id", "content", "held.h AS h", "held.owner AS owner")
+        pieces = _passages(named.join(stage(held, "windows-held"), ["id", "content"]), _by_window)
     listed = ranges.groupBy("id", "content").agg(
         F.collect_list(F.struct("starts", "ends")).alias("r")
     )

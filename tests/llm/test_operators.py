@@ -4,6 +4,7 @@ import hashlib
 import zlib
 
 import numpy as np
+import pandas as pd
 import public_tokenizers
 import pytest
 import xxhash
@@ -116,6 +117,37 @@ def test_substrings_equal_brute_force(spark, docs, empty):
     assert found == _brute_substrings(rows)
 
 
+def test_automata_decide_what_is_repeated(monkeypatch):
+    passage = " ".join(f"w{i}" for i in range(30))
+    group = pd.DataFrame({
+        "owner": [1, 1, 1, 1], "id": [1, 2, 3, 1], "content": [0, 0, 0, 0], "at": [5, 7, 0, 90],
+        "piece": [passage, "x " + passage, "y " * 14 + "z", "y " * 14 + "y"],
+    })
+    found = substring_dedup._search(group)
+    ranges = found[found["h"].isna()][["id", "starts", "ends"]].values.tolist()
+    assert ranges == [[2, 8, 38], [3, 0, 14]]
+    assert sorted(found[found["h"].notna()][["id", "starts"]].values.tolist()) == [[2, 7], [3, 2]]
+    monkeypatch.setattr(substring_dedup, "SIGNS", 8)  # two signs a word
+    assert substring_dedup._search(group).equals(found)
+
+    class Empty(substring_dedup.Phrases):
+        def __init__(self, passages, holders):
+            super().__init__([], [])
+
+    monkeypatch.setattr(substring_dedup, "Phrases", Empty)
+    assert substring_dedup._search(group)["h"].notna().all()
+
+
+def test_windows_that_the_owner_lacks_are_found(spark):
+    """Documents share an anchor with the smallest one, but whole windows only with each other."""
+    generator = np.random.default_rng(11)
+    pool = [" ".join(f"v{generator.integers(9)}" for _ in range(6)) for _ in range(6)]
+    rows = [(i, " ".join(generator.choice(pool, 12))) for i in range(60)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    found = sorted(map(tuple, substring_dedup.dedup_substrings(frame).collect()), key=str)
+    assert found == _brute_substrings(rows)
+
+
 def _brute_components(links, nodes):
     root = {n: n for n in nodes}
 
@@ -208,6 +240,42 @@ def test_embedding_links_equal_brute_force(vectors, monkeypatch):
     assert embedding_dedup.near_duplicates(frame.limit(0)).count() == 0
 
 
+def test_vectors_of_other_lengths_meet_only_their_like(vectors):
+    frame, points = vectors
+    rows = [(500, [1.0, 2.0]), (550, [1.0, 2.0]), (501, [1.0, 2.1]), (600, []), (601, [])]
+    more = frame.union(frame.sparkSession.createDataFrame(rows, frame.schema))
+    plain = {tuple(r) for r in embedding_dedup.near_duplicates(frame).collect()}
+    found = {tuple(r) for r in embedding_dedup.near_duplicates(more).collect()}
+    assert found - plain == {(500, 1, 500, True), (550, 1, 500, False), (501, 0, 501, True),
+                             (600, 0, 600, True), (601, 0, 601, True)}
+    near = {tuple(r) for r in ann.search(more.where("vec_id >= 500"), more).collect()}
+    assert {(q, rank, v) for q, rank, v, _ in near} == {
+        (500, 1, 550), (500, 2, 501), (550, 1, 500), (550, 2, 501), (501, 1, 500), (501, 2, 550)
+    }
+
+
+def test_search_with_clashing_columns_and_repeated_rows(vectors):
+    frame, _ = vectors
+    few = frame.where("vec_id < 4 OR vec_id >= 400")
+    few = few.union(few.where("vec_id = 2")).union(few.where("vec_id = 2"))
+    wide = few.select("*", *[F.lit("x").alias(n) for n in ("id", "vector", "shard", "block", "size", "member")])
+    for method in (embedding_dedup.near_duplicates, lambda f: ann.search(f.where("vec_id < 3"), f)):
+        assert sorted(map(tuple, method(wide).collect())) == sorted(map(tuple, method(few).collect()))
+    near = ann.search(few.where("vec_id = 0"), few).collect()
+    assert sorted(r.vec_id for r in near) == [1, 2, 2, 2, 3] and [r.rank for r in near] == [1, 2, 3, 4, 5]
+
+
+def test_line_dedup_takes_any_column_names(docs):
+    names = ("starts", "id_", "content_", "own", "doc", "id", "content", "STARTS_")
+    wide = docs.select("*", *[F.lit(n).alias(n) for n in names])
+    plain = line_dedup.dedup_lines(docs)
+    found = line_dedup.dedup_lines(wide)
+    assert found.columns == [*wide.columns, "n_lines", "n_removed", "kept_text"]
+    assert all(r[n] == n for r in found.collect() for n in names)
+    key = lambda rows: sorted(map(str, rows))
+    assert key(found.select(*plain.columns).collect()) == key(plain.collect())
+
+
 def test_exact_search_equals_brute_force(vectors, monkeypatch):
     monkeypatch.setattr(ann, "LEAF", 8)
     frame, points = vectors
@@ -226,10 +294,14 @@ def test_packing_round_trip(docs, empty):
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
+    special = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
+    texts = [t for s in special for t in (s, f"hello {s} world", f"日本 {s}{s}x", s[:-1], f" {s.upper()} ")]
+    more = [(100 + n, text, "en", "b", 1, 1) for n, text in enumerate(texts)]
+    assert len(special) > 0
+    docs = docs.union(docs.sparkSession.createDataFrame(more, docs.schema))
     rows = packing.pack_documents(docs, path).collect()
     expected = []
-    for doc, text, *_ in ROWS:
+    for doc, text, *_ in ROWS + more:
         ids = tokenizer.encode(text or "", add_special_tokens=False).ids + [0]
         for start in range(0, len(ids), 1024):
             piece = np.array(ids[start : start + 1024], "<u4")

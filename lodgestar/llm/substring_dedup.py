@@ -5,11 +5,12 @@ hash; equal windows have equal anchors, so only anchors have to be counted over
 the words. The smallest document with an anchor owns it. Then:
 
 1. *Confirm*: anchors that occur in two documents recur; the windows around them are the passages.
-2. *Compile*: the windows of the owners' passages are the phrases of Aho-Corasick automata, sharded by
-   owner. A phrase carries the smallest document that holds it.
+2. *Compile*: phrases of the owners' passages, such that every window holds one, are compiled into
+   Aho-Corasick automata, sharded by owner. A phrase carries the words around it in its passages and
+   the smallest document that holds each of these windows.
 3. *Stream*: every passage of every other document is read by the automaton of its owner's shard, which
-   locates all occurrences of the phrases. An occurrence is repeated if its phrase is held by a smaller
-   document; nothing else decides.
+   locates all occurrences of the phrases. A window around one is repeated if its words are those of a
+   window of a smaller document; nothing else decides.
 4. Passages may share an anchor with its owner but not the window. Windows that no automaton has found
    and that recur among themselves are confirmed by their own hash, owned by their smallest document,
    and go through steps 2 and 3 again, until none is left.
@@ -36,8 +37,11 @@ from lodgestar.session import stage
 
 WINDOW = 13
 ANCHOR = 5
+#: Words of a phrase of the automata, and the distance of phrases such that every window holds one.
+PHRASE = 9
+STEP = WINDOW - PHRASE + 1
 #: Characters of passages that are searched together.
-SHARD_CHARS = 2 << 20
+SHARD_CHARS = 4 << 20
 #: Words are spelled by this many signs, so that an automaton has one node for a word.
 SIGNS = 0xD000
 
@@ -179,10 +183,12 @@ def _passages(docs: DataFrame, marks: Callable[[list[bytes]], np.ndarray]) -> Da
 
 
 class Phrases:
-    """The windows of owners' passages as an automaton over words.
+    """Phrases of owners' passages as an automaton over words, with the words around them.
 
-    Each word of the passages is spelled by one sign, or by two where there are too many; all other
-    words are spelled alike by a sign that no phrase holds.
+    Of a passage every ``STEP``-th phrase of ``PHRASE`` words is in the automaton, so each of its
+    windows holds exactly one of them. The words of the window before and after the phrase are kept
+    beside it. Each word of the passages is spelled by one sign, or by two where there are too many;
+    all other words are spelled alike by a sign that no phrase holds.
     """
 
     def __init__(self, passages: list[list[bytes]], holders: list[int]) -> None:
@@ -192,31 +198,79 @@ class Phrases:
                 self.codes.setdefault(word, len(self.codes) + 1)
         self.width = 1 if len(self.codes) < SIGNS - 1 else 2
         self.automaton = ahocorasick.Automaton()
-        size = WINDOW * self.width
-        # The smallest holder of a phrase comes first and stays.
-        for n in sorted(range(len(passages)), key=holders.__getitem__):
-            text = self.spelled(passages[n])
-            for at in range(0, len(text) - size + 1, self.width):
-                phrase = text[at : at + size]
-                if phrase not in self.automaton:
-                    self.automaton.add_word(phrase, holders[n])
+        numbers: list[int] = []  # of the phrases, in the order of their places
+        places = [np.zeros((3, 0), np.int64)]
+        begin, coded = 0, [np.zeros(0, np.int64)]
+        for words in passages:
+            own = self._coded(words)
+            text, size = self._spelled(own), PHRASE * self.width
+            at = np.arange(0, max(0, len(words) - PHRASE + 1), STEP)
+            for start in at.tolist():
+                phrase = text[start * self.width : start * self.width + size]
+                number = self.automaton.get(phrase, len(self.automaton))
+                if number == len(self.automaton):
+                    self.automaton.add_word(phrase, number)
+                numbers.append(number)
+            ends = np.full(len(at), begin + len(words))
+            places.append(np.stack([at + begin, np.full(len(at), begin), ends]))
+            coded.append(own)
+            begin += len(words)
         self.automaton.make_automaton()
-
-    def spelled(self, words: list[bytes]) -> str:
-        codes = np.fromiter((self.codes.get(w, 0) for w in words), np.int64, len(words))
+        self.base = len(self.codes) + 1
+        at, begins, ends = np.concatenate(places, axis=1)
+        of = np.repeat(np.array(holders, np.int64), [len(p[0]) for p in places[1:]])
+        all_coded, number = np.concatenate(coded), np.array(numbers, np.int64)
+        self.around = []
+        for before in range(STEP):
+            some = (at - before >= begins) & (at - before + WINDOW <= ends)
+            tables, level = [], number[some]
+            for away in _around(before):
+                keys = level * self.base + all_coded[at[some] + away]
+                table, level = np.unique(keys, return_inverse=True)
+                tables.append(table)
+            smallest = np.full(len(tables[-1]), np.iinfo(np.int64).max)
+            np.minimum.at(smallest, level, of[some])
+            self.around.append((tables, smallest))
+
+    def _coded(self, words: list[bytes]) -> np.ndarray:
+        code = self.codes.get
+        return np.array([code(word, 0) for word in words], np.int64)
+
+    def _spelled(self, codes: np.ndarray) -> str:
         if self.width == 2:
             codes = np.stack([codes // SIGNS, codes % SIGNS], axis=1).ravel()
         return codes.astype("<u2").tobytes().decode("utf-16-le")
 
     def occurrences(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """First word and smallest holder of every phrase found in ``words``."""
+        """First word and smallest holder of every window of ``words`` that a passage has."""
+        starts, smallest = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         if not len(self.automaton):
-            return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        kind = [("end", np.int64), ("holder", np.int64)]
-        found = np.fromiter(self.automaton.iter(self.spelled(words)), kind)
-        ends = found["end"] + 1
-        aligned = ends % self.width == 0
-        return ends[aligned] // self.width - WINDOW, found["holder"][aligned]
+            return starts[0], smallest[0]
+        codes = self._coded(words)
+        kind = [("end", np.int64), ("number", np.int64)]
+        found = np.fromiter(self.automaton.iter(self._spelled(codes)), kind)
+        found = found[(found["end"] + 1) % self.width == 0]
+        at = (found["end"] + 1) // self.width - PHRASE
+        for before, (tables, holders) in enumerate(self.around):
+            fits = (at >= before) & (at - before + WINDOW <= len(codes))
+            here, level = at[fits], found["number"][fits]
+            for away, table in zip(_around(before), tables):
+                if not len(table):
+                    here = here[:0]
+                    break
+                keys = level * self.base + codes[here + away]
+                level = np.minimum(np.searchsorted(table, keys), len(table) - 1)
+                known = table[level] == keys
+                here, level = here[known], level[known]
+            if len(here):
+                starts.append(here - before)
+                smallest.append(holders[level])
+        return np.concatenate(starts), np.concatenate(smallest)
+
+
+def _around(before: int) -> list[int]:
+    """Places, counted from a phrase, of the other words of the window that starts ``before`` it."""
+    return [*range(-before, 0), *range(PHRASE, WINDOW - before)]
 
 
 #: Stands between passages that are read as one text; no word is empty.
@@ -251,7 +305,8 @@ def _search(group: pd.DataFrame) -> pd.DataFrame:
     offset = firsts - np.concatenate([[0], np.cumsum(sizes)[:-1]])
     repeated = np.zeros(len(piece), bool)
     at, holders = phrases.occurrences(words)
-    repeated[at] = holders < ids[piece[at]]
+    # A window may be found by several phrases, each with holders of its own.
+    repeated[at[holders < ids[piece[at]]]] = True
     out = []
     at = np.flatnonzero(repeated)
     if len(at):

@@ -96,14 +96,18 @@ def phrase_hashes(words: np.ndarray, size: int, base: int) -> np.ndarray:
     return _mixed(total)
 
 
-def anchors(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Phrase hashes, and per window the position of its anchor among them."""
-    phrases = phrase_hashes(words, ANCHOR, _PHRASE)
+def anchors(words: np.ndarray) -> np.ndarray:
+    """Per window the hash of its anchor."""
+    least = phrase_hashes(words, ANCHOR, _PHRASE)
     span = WINDOW - ANCHOR + 1
-    if len(phrases) < span:
-        return phrases, np.zeros(0, np.int64)
-    views = np.lib.stride_tricks.sliding_window_view(phrases, span)
-    return phrases, views.argmin(axis=1) + np.arange(len(views))
+    if len(least) < span:
+        return np.zeros(0, np.uint64)
+    width = 1  # phrases over which the minimum is taken so far
+    while width < span:
+        step = min(width, span - width)
+        least = np.minimum(least[:-step], least[step:])
+        width += step
+    return least
 
 
 def _runs(starts: np.ndarray) -> list[tuple[int, int]]:
@@ -121,8 +125,7 @@ def _anchor_rows(docs: DataFrame) -> DataFrame:
     def handle(rows: dict[str, list]) -> dict[str, list]:
         hashes, ids = [], []
         for doc, text in zip(rows["id"], rows["text"], strict=True):
-            phrases, at = anchors(word_hashes(split_words(text)))
-            own = np.unique(phrases[np.unique(at)])
+            own = np.unique(anchors(word_hashes(split_words(text))))
             hashes.append(own)
             ids.append(np.full(len(own), doc, np.int64))
         return {"h": np.concatenate(hashes).view(np.int64), "id": np.concatenate(ids)}
@@ -136,8 +139,7 @@ _PIECES = [("owner", pa.int64()), ("id", pa.int64()), ("content", pa.int64()), (
 
 def _by_anchor(words: list[bytes]) -> np.ndarray:
     """The hash of each window's anchor."""
-    phrases, at = anchors(word_hashes(words))
-    return phrases[at]
+    return anchors(word_hashes(words))
 
 
 def _by_window(words: list[bytes]) -> np.ndarray:

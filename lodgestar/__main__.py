@@ -5,7 +5,8 @@
     python -m lodgestar avg-price-by-month CITY [--months 1 6 7 10]
     python -m lodgestar top-hosts CITY [--min-reviews 30] [--k 2]
 
-An analysis is printed as rows of tab-separated values under a line of column names, all of them and
+``load --into new`` creates the tables, ``replace``, ``append`` and ``merge`` take those that are there.
+It prints, per input, the rows read, those with a fault and those left out. An analysis is printed as rows of tab-separated values under a line of column names, all of them and
 nulls as ``NULL``. On a cluster submit this file with ``spark-submit``; master and resources are those
 of the submit.
 """
@@ -14,6 +15,7 @@ from __future__ import annotations
 
 import argparse
 
+from lodgestar.functions import parsing
 from lodgestar.operators.star import Star
 from lodgestar.plans import analyses
 from lodgestar.plans.warehouse import Inputs, create_warehouse, load_warehouse
@@ -31,7 +33,15 @@ def parser() -> argparse.ArgumentParser:
     load.add_argument("--negative", nargs="+", required=True)
     load.add_argument("--cities", nargs="+", default=list(RawLayout.cities))
     load.add_argument("--review-mode", choices=("split", "whole"), default="split")
+    load.add_argument("--listing-mode", choices=("split", "whole"), default="split")
+    load.add_argument("--review-prefix", default=parsing.REVIEW_PREFIX)
+    load.add_argument("--normalize-lexicon", action="store_true")
+    load.add_argument("--lenient", action="store_true", help="list malformed rows, do not fail")
+    load.add_argument("--into", choices=("new", "replace", "append", "merge"), default="new")
+    load.add_argument("--row-id", choices=("stable", "run"), default="stable")
+    load.add_argument("--format", choices=("orc", "parquet"), default="orc")
     load.add_argument("--fact-by-year", action="store_true")
+    load.add_argument("--fact-by-city", action="store_true")
 
     reviews = sub.add_parser("reviews-by-year")
     prices = sub.add_parser("avg-price-by-month")
@@ -52,10 +62,34 @@ def main(arguments: list[str] | None = None) -> None:
     if args.command == "load":
         layout = RawLayout(args.root, cities=tuple(args.cities))
         inputs = Inputs.from_files(
-            spark, layout, args.positive, args.negative, review_mode=args.review_mode
+            spark,
+            layout,
+            args.positive,
+            args.negative,
+            review_mode=args.review_mode,
+            listing_mode=args.listing_mode,
+            review_prefix=args.review_prefix,
+            normalize_lexicon=args.normalize_lexicon,
+            on_error="null" if args.lenient else "fail",
         )
-        create_warehouse(spark, args.database, fact_by_year=args.fact_by_year)
-        load_warehouse(spark, inputs, args.database)
+        if args.into == "new":
+            create_warehouse(
+                spark,
+                args.database,
+                file_format=args.format,
+                fact_by_year=args.fact_by_year,
+                fact_by_city=args.fact_by_city,
+            )
+        counts = load_warehouse(
+            spark,
+            inputs,
+            args.database,
+            overwrite=args.into != "append",
+            merge=args.into == "merge",
+            row_id=args.row_id,
+        )
+        for name, seen in counts.items():
+            print(name, seen.rows, seen.rejected, seen.left_out, sep="\t")
         return
     star = Star.from_catalog(spark, args.database)
     if args.command == "reviews-by-year":

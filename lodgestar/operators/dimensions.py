@@ -24,11 +24,18 @@ def dim_host(listings: DataFrame) -> DataFrame:
     )
 
 
-def dim_neighbourhood(listings: DataFrame) -> DataFrame:
-    """One row per neighbourhood name over all cities: the first by city, then by group."""
+def dim_neighbourhood(listings: DataFrame, *, by_city: bool = False) -> DataFrame:
+    """One row per neighbourhood name over all cities: the first by city, then by group.
+
+    ``by_city`` keeps one row per name and city, for facts that hold the city.
+    """
+    name = F.col("neighbourhood").alias("name")
+    if by_city:
+        group = F.min("neighbourhood_group").alias("group")
+        return listings.groupBy(name, "city").agg(group).select("name", "group", "city")
     first = F.min(F.struct("city", "neighbourhood_group")).alias("first")
     return (
-        listings.groupBy(F.col("neighbourhood").alias("name"))
+        listings.groupBy(name)
         .agg(first)
         .select("name", F.col("first.neighbourhood_group").alias("group"), "first.city")
     )

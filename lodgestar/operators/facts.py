@@ -39,13 +39,17 @@ def calendar_days(calendar: DataFrame) -> DataFrame:
     )
 
 
-def listing_groups(listings: DataFrame) -> DataFrame:
-    """Listings per id and fact attributes: copies, listing_price_sum, declared_sum."""
+def listing_groups(listings: DataFrame, *, by_city: bool = False) -> DataFrame:
+    """Listings per id and fact attributes: copies, listing_price_sum, declared_sum.
+
+    ``by_city`` makes the city one of the attributes, and so a key of the facts.
+    """
     return listings.groupBy(
         F.col("id").alias("listing_id"),
         "neighbourhood",
         F.col("host_id").cast("string").alias("host_id"),
         "room_type",
+        *(["city"] if by_city else []),
     ).agg(
         F.count(F.lit(1)).alias("copies"),
         F.sum(F.col("price").cast("double")).alias("listing_price_sum"),
@@ -53,6 +57,11 @@ def listing_groups(listings: DataFrame) -> DataFrame:
     )
 
 
+def fact_keys(groups: DataFrame) -> list[str]:
+    """Keys of the facts made from listing groups: with the city where the groups have it."""
+    return [*FACT_KEYS, *(["city"] if "city" in groups.columns else [])]
+
+
 def stable_id(*keys: str) -> Column:
     """Key-based row id: the same in every run, so a repeated load makes no new ids."""
     parts = [F.coalesce(F.col(key).cast("string"), F.lit("\\N")) for key in keys]
@@ -77,7 +86,7 @@ def combine_days(
     available = F.coalesce("available_entries", F.lit(1))
     return joined.select(
         "listing_id",
-        *FACT_KEYS,
+        *fact_keys(listing_group),
         (stays * available).alias("available"),
         (stays * (entries - available)).alias("not_available"),
         F.when(matched, stays * F.col("entry_price_sum"))
@@ -100,14 +109,15 @@ def fact_from_days(
 
     ``first_id`` is the smallest number that a run's ids may have.
     """
+    keys = fact_keys(listing_group)
     number = F.monotonically_increasing_id()
     number = number if first_id is None else number + first_id
-    ids = {"stable": stable_id(*FACT_KEYS), "run": number.cast("string")}
+    ids = {"stable": stable_id(*keys), "run": number.cast("string")}
     if row_id not in ids:
         raise ValueError(f"row_id must be one of {sorted(ids)}, not {row_id!r}")
     facts = (
         combine_days(review_day, calendar_day, listing_group)
-        .groupBy(*FACT_KEYS)
+        .groupBy(*keys)
         .agg(
             F.sum("available").alias("available_listings_count"),
             F.sum("not_available").alias("not_available_listings_count"),
@@ -116,7 +126,9 @@ def fact_from_days(
             F.sum("declared").alias("declared_reviews_count"),
         )
     )
-    return facts.select(ids[row_id].alias("id"), *facts.columns)
+    # The city comes last, so that the other columns keep their places.
+    columns = [name for name in facts.columns if name != "city"] + keys[len(FACT_KEYS) :]
+    return facts.select(ids[row_id].alias("id"), *columns)
 
 
 def fact_reviews(

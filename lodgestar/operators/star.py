@@ -32,9 +32,10 @@ def review_count() -> Column:
 
 
 def join_neighbourhood(facts: DataFrame, star: Star) -> DataFrame:
-    """Adds city and group."""
+    """Adds city and group. Facts that hold the city are joined on it as well."""
     dimension = star.neighbourhood.withColumnRenamed("name", "neighbourhood")
-    return facts.join(dimension, "neighbourhood")
+    on = ["neighbourhood", "city"] if "city" in facts.columns else ["neighbourhood"]
+    return facts.join(dimension, on)
 
 
 def join_date(facts: DataFrame, star: Star) -> DataFrame:

@@ -71,10 +71,13 @@ def _host_facts(star: Star) -> DataFrame:
     return join_date(join_neighbourhood(star.fact, star), star).where(F.col("host_id").isNotNull())
 
 
-def _rated_hosts(host_facts: DataFrame, star: Star) -> DataFrame:
-    sums = host_facts.groupBy("city", "group", "year", "host_id").agg(
+def _host_sums(host_facts: DataFrame) -> DataFrame:
+    return host_facts.groupBy("city", "group", "year", "host_id").agg(
         F.sum("ratings_sum").alias("ratings_sum"), F.sum(review_count()).alias("reviews")
     )
+
+
+def _rated_hosts(sums: DataFrame, star: Star) -> DataFrame:
     return join_host(sums, star).select(
         "city",
         "group",
@@ -93,7 +96,7 @@ def host_ratings(star: Star) -> DataFrame:
     with facts. The noise of summing doubles in any order is cut off before the two decimals are
     taken, so that a tie is rounded up in every run.
     """
-    return _rated_hosts(_host_facts(star), star)
+    return _rated_hosts(_host_sums(_host_facts(star)), star)
 
 
 def latest_year_hosts(
@@ -101,20 +104,24 @@ def latest_year_hosts(
 ) -> DataFrame:
     """Hosts with more than ``min_reviews`` reviews in their city's latest year.
 
-    The latest year comes from few columns of the facts, before any host is rated: of each city's
-    hosts in the dimension, their last year. It is a subquery or a join inside the plan; nothing
-    is fetched to the driver.
+    A year counts if a host of the dimension has reviews in it. For all cities the facts are read
+    once: the sums per host and year give the latest years and the ratings, and both use the same
+    shuffle. For one city the latest year is a subquery on few columns, so that the second read
+    skips the partitions of all other years. Nothing is fetched to the driver.
     """
-    host_facts = _host_facts(star)
-    if city is not None:
-        host_facts = host_facts.where(F.col("city") == city)
-    last = host_facts.groupBy("city", "host_id").agg(F.max("year").alias("year"))
-    latest = join_host(last, star).groupBy("city").agg(F.max("year").alias("year"))
+    host_facts = _host_facts(star).where("city IS NOT NULL AND year IS NOT NULL")
     if city is None:
-        host_facts = host_facts.join(latest, ["city", "year"])
+        sums = _host_sums(host_facts)
+        # Both sums are used on this side too, so that the plans up to the shuffle are the same.
+        seen = F.col("reviews").isNotNull() | F.col("ratings_sum").isNotNull()
+        last = join_host(sums, star).groupBy("city").agg(F.max(F.when(seen, F.col("year"))).alias("year"))
+        latest = _rated_hosts(sums.join(last, ["city", "year"]), star)
     else:
-        host_facts = host_facts.where(F.col("year") == latest.agg(F.max("year")).scalar())
-    return _rated_hosts(host_facts, star).where(F.col("number_of_reviews") > min_reviews)
+        host_facts = host_facts.where(F.col("city") == city)
+        last = host_facts.groupBy("host_id").agg(F.max("year").alias("year"))
+        year = join_host(last, star).agg(F.max("year")).scalar()
+        latest = _rated_hosts(_host_sums(host_facts.where(F.col("year") == year)), star)
+    return latest.where(F.col("number_of_reviews") > min_reviews)
 
 
 #: Rank of hosts: column, and whether large values come first.

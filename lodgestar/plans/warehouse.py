@@ -9,6 +9,7 @@ from functools import partial, reduce
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from lodgestar.functions import parsing
 from lodgestar.operators import dimensions, facts
 from lodgestar.operators.sentiment import rate_reviews
 from lodgestar.plans.merge import (
@@ -42,11 +43,13 @@ def create_warehouse(
     location: str | None = None,
     file_format: str = "orc",
     fact_by_year: bool = False,
+    fact_by_city: bool = False,
 ) -> None:
     """Drop and create the five tables, and that of rejected rows.
 
     ``fact_by_year`` adds a ``year`` partition column to the fact table, for analyses of single
-    years over a large history. ``location`` is the folder of a new database.
+    years over a large history. ``fact_by_city`` adds the city to the facts and to the key of the
+    neighbourhoods, for names that several cities have. ``location`` is the folder of a new database.
     """
     if file_format not in ("orc", "parquet"):
         raise ValueError(f"file_format must be 'orc' or 'parquet', not {file_format!r}")
@@ -55,6 +58,8 @@ def create_warehouse(
         spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`{place}")
     for name, columns in {**WAREHOUSE_TABLES, REJECT_TABLE: REJECT_COLUMNS}.items():
         partitioned = fact_by_year and name == FACT_TABLE
+        if fact_by_city and name == FACT_TABLE:
+            columns = [*columns, ("city", "string")]
         if partitioned:
             columns = [*columns, ("year", "int")]
         ddl = ", ".join(f"`{column}` {sql_type}" for column, sql_type in columns)
@@ -84,6 +89,7 @@ class Inputs:
         *,
         review_mode: str = "split",
         listing_mode: str = "split",
+        review_prefix: str = parsing.REVIEW_PREFIX,
         on_error: str = "fail",
         normalize_lexicon: bool = False,
     ) -> Inputs:
@@ -94,7 +100,9 @@ class Inputs:
         return cls(
             listings if lenient else check_required(listings),
             read_calendar(spark, layout.calendars(), **options),
-            read_reviews(spark, layout.reviews(), mode=review_mode, **options),
+            read_reviews(
+                spark, layout.reviews(), mode=review_mode, prefix=review_prefix, **options
+            ),
             read_lexicon(spark, positive_words, negative_words, normalize=normalize_lexicon),
         )
 
@@ -172,7 +180,7 @@ class _Loading:
         return self._staged("reviews", rows, sums, "listing_id")
 
     def counts(self) -> dict[str, Counts]:
-        return {name: Counts(**seen.get) for name, seen in self.observed.items()}
+        return {name: Counts(**seen.get) for name, seen in sorted(self.observed.items())}
 
 
 def load_warehouse(
@@ -230,9 +238,12 @@ def _fill(
     merge: bool,
     row_id: str,
 ) -> None:
+    by_city = "city" in spark.table(table_name(database, FACT_TABLE)).columns
+    if merge and by_city:
+        raise ValueError("facts by city are replaced or appended, not merged")
     dimension_rows = {
         "dim_room_type": dimensions.dim_room_type(listings),
-        "dim_neighbourhood": dimensions.dim_neighbourhood(listings),
+        "dim_neighbourhood": dimensions.dim_neighbourhood(listings, by_city=by_city),
         "dim_date": dimensions.dim_date(calendar_day, review_day),
         "dim_host": dimensions.dim_host(listings),
     }
@@ -243,7 +254,7 @@ def _fill(
     fact_rows = facts.fact_from_days(
         review_day,
         calendar_day,
-        facts.listing_groups(listings),
+        facts.listing_groups(listings, by_city=by_city),
         row_id=row_id,
         first_id=first_id,
     )

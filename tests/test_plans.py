@@ -17,6 +17,7 @@ WRITING = {
     "scan_review_text_split",
     "scan_review_text_whole",
     "warehouse_append",
+    "warehouse_by_city",
     "warehouse_full_load",
     "warehouse_merge_load",
     "warehouse_rejects",
@@ -43,6 +44,14 @@ def test_top_k_is_limited_before_its_shuffle(spark):
     assert plan.index("WindowGroupLimit") < shuffle < partial
 
 
+def test_latest_years_read_the_facts_once(spark):
+    frame = all_queries()["latest_year_hosts"](spark, FOLDER)
+    frame.collect()
+    final = frame._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert len(re.findall(r"FileScan orc \S+\.tof_reviews\[", final)) == 1
+    assert "ReusedExchange [city" in final
+
+
 def test_texts_are_not_shuffled(spark):
     """Between the scan of a document and its counts only key and counts move."""
     frame = all_queries()["rate_extracted_reviews"](spark, FOLDER)

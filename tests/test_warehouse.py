@@ -269,6 +269,22 @@ def test_rejected_rows_are_written_by_the_load(spark, raw):
     assert spark.table("rejects.rejected_rows").count() == 6
 
 
+def test_same_name_in_two_cities(spark, raw):
+    path = raw / "listing/ParisListings.csv"
+    path.write_text(path.read_text().replace("Louvre,Louvre", "Louvre,Alex"))
+    warehouse.create_warehouse(spark, "cities", fact_by_year=True, fact_by_city=True)
+    warehouse.load_warehouse(spark, inputs(spark, raw), "cities")
+    star = Star.from_catalog(spark, "cities")
+    assert rows(star.neighbourhood) == [
+        ("Alex", "Louvre", "PARIS"), ("Alex", "Mitte", "BERLIN"), ("Wedding", "Nord", "BERLIN")
+    ]
+    assert [tuple(r) for r in analyses.reviews_by_year(star, "PARIS").collect()] == [(2019, 1, None)]
+    assert [tuple(r) for r in analyses.reviews_by_year(star, "BERLIN").collect()] == [(2018, 1, 2)]
+    with pytest.raises(ValueError):
+        warehouse.load_warehouse(spark, inputs(spark, raw), "cities", merge=True)
+    assert staged_databases(spark) == ([], [])
+
+
 def test_run_ids_are_unique_over_appends(spark, raw):
     warehouse.create_warehouse(spark, "runs")
     for _ in range(3):
@@ -347,7 +363,14 @@ def test_scratch_folder_is_the_configured_one(spark):
 
 def test_command_line(spark, raw, capsys):
     words = ["--positive", str(raw / "words/positive"), "--negative", str(raw / "words/negative")]
-    main(["load", str(raw), *words, "--cities", "BERLIN", "PARIS", "--database", "commands"])
+    load = ["load", str(raw), *words, "--cities", "BERLIN", "PARIS", "--database", "commands"]
+    main([*load, "--lenient", "--format", "parquet", "--normalize-lexicon"])
+    assert capsys.readouterr().out.splitlines() == [
+        "calendar\t3\t0\t0", "listings\t3\t0\t0", "reviews\t5\t0\t0"
+    ]
+    main([*load, "--into", "append", "--review-mode", "whole", "--listing-mode", "whole"])
+    assert spark.table("commands.dim_host").count() == 4
+    main([*load, "--into", "replace"])
     main(["reviews-by-year", "BERLIN", "--database", "commands"])
     main(["avg-price-by-month", "PARIS", "--months", "3", "--database", "commands"])
     main(["top-hosts", "BERLIN", "--min-reviews", "0", "--k", "1", "--database", "commands"])

@@ -352,5 +352,16 @@ def all_oracle_sql() -> dict[str, str]:
         "warehouse_full_load": _with(_LOADED, _STAR_ROWS),
         "warehouse_merge_load": _with(_LOADED, _STAR_ROWS),
         "warehouse_rejects": _with([_LISTINGS, _CALENDAR, _RECORDS], _REJECTS),
+        "warehouse_by_city": _with(
+            [_LISTINGS, _LEXICON, _RATED_DOCUMENTS, _RATED, _CALENDAR],
+            """SELECT l.city, 'District ' || (l.id % 4) AS neighbourhood,
+            l.city || '/District ' || (l.id % 4) AS "group", CAST(year(r.date) AS INTEGER) AS year,
+            count(*) AS reviews,
+            round(sum(CASE WHEN c.listing_id IS NULL THEN CAST(l.price AS DOUBLE) ELSE c.price END), 2)
+                AS prices
+            FROM rated r JOIN listings l ON r.listing_id = l.id
+            LEFT JOIN calendar c ON c.listing_id = r.listing_id AND c.date = r.date
+            GROUP BY ALL""",
+        ),
         "warehouse_run_ids": _star("SELECT 2 * count(*) AS facts, 2 * count(*) AS ids FROM facts"),
     }

@@ -12,7 +12,13 @@ from pyspark.sql import functions as F
 
 from lodgestar.functions import parsing
 from lodgestar.operators import dimensions, facts, sentiment
-from lodgestar.operators.star import Star, star_join
+from lodgestar.operators.star import (
+    Star,
+    join_date,
+    join_neighbourhood,
+    review_count,
+    star_join,
+)
 from lodgestar.plans import analyses, warehouse
 from lodgestar.session import scratch_path
 from lodgestar.sources import (
@@ -436,3 +442,29 @@ def warehouse_run_ids(frames: Frames) -> DataFrame:
     return table.agg(
         F.count(F.lit(1)).alias("facts"), F.count_distinct("id").alias("ids")
     )
+
+
+@query
+def warehouse_by_city(frames: Frames) -> DataFrame:
+    """District names that all cities have, loaded with the city as part of the key."""
+    spark = frames.spark
+    district = F.concat(F.lit("District "), (F.col("id") % 4).cast("string"))
+    listings = frames.listings.withColumns(
+        {"neighbourhood": district, "neighbourhood_group": F.concat_ws("/", "city", district)}
+    )
+    database = new_database(spark, fact_by_year=True, fact_by_city=True)
+    groups = facts.listing_groups(listings, by_city=True)
+    days = (facts.review_days(frames.rated), facts.calendar_days(frames.calendar))
+    tables = {
+        "dim_neighbourhood": dimensions.dim_neighbourhood(listings, by_city=True),
+        "dim_date": frames.dates,
+        "tof_reviews": facts.fact_from_days(*days, groups),
+    }
+    for name, rows in tables.items():
+        warehouse.insert_rows(rows, name, database)
+    star = Star.from_catalog(spark, database)
+    joined = join_date(join_neighbourhood(star.fact, star), star)
+    return joined.groupBy("city", "neighbourhood", "group", "year").agg(
+        F.sum(review_count()).alias("reviews"),
+        F.round(F.sum("prices_sum"), 2).alias("prices"),
+    )

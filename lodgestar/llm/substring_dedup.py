@@ -41,7 +41,7 @@ ANCHOR = 5
 PHRASE = 9
 STEP = WINDOW - PHRASE + 1
 #: Characters of passages that are searched together.
-SHARD_CHARS = 4 << 20
+SHARD_CHARS = 1 << 20
 #: Words are spelled by this many signs, so that an automaton has one node for a word.
 SIGNS = 0xD000
 

@@ -231,7 +231,9 @@ def scan(
     Built-in expressions and Spark's own forest only. ``findings`` are labelled findings to learn
     from, with ``candidate``, ``before`` and ``label``; without them those of ``docs`` that
     :func:`labelled` is sure of. A secret is not shown whole: its first four characters, and a hash.
-    Without both labels nothing is a finding.
+    Without both labels there is no forest, and the findings are those that :func:`labelled` takes
+    for keys, with score 1. Rows that repeat are scanned each; other columns are not read. An empty
+    table has an empty result.
     """
     words = stage(dictionary(docs, text), "secret-dictionary")
     found = stage(candidates(docs, key, text), "secret-candidates")
@@ -239,7 +241,8 @@ def scan(
     known = labelled(found) if findings is None else features(findings, words)
     model = fit(known)
     if model is None:
-        scored = found.limit(0).withColumn("score", F.lit(0.0))
+        sure = labelled(found)
+        scored = sure.withColumn("score", F.col("label"))
     else:
         vectors = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(found)
         scored = model.transform(vectors).withColumn(

@@ -71,3 +71,12 @@ def test_values_are_whole(spark, text, values):
 def test_context_of_values(spark):
     found = _found(spark, "password=hunter22", f"Authorization: Bearer {JWT}", "authorization_token = 'ab12'")
     assert [rows[-1][1] for rows in found] == ["password=", "authorization: bearer ", "authorization_token = '"]
+
+
+def test_without_both_labels_sure_keys_are_found(spark):
+    """A table in which every long run is a sure key trains no forest, and loses none of them."""
+    texts = ["id AKIA" + "Q7" * 8, 'password = "abc123def"', None, ""]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = secrets.scan(frame).collect()
+    assert sorted((r.doc_id, r.shown, r.score) for r in rows) == [(0, "AKIA", 1.0), (1, "abc1", 1.0)]
+    assert secrets.scan(frame.where("text = ''")).count() == 0

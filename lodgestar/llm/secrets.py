@@ -5,15 +5,19 @@ from __future__ import annotations
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lodgestar.llm.findings import WORDS, example_texts
 from lodgestar.session import stage
 
 #: Findings of each class that the forest learns from.
 SAMPLE = 5_000
-#: A dictionary word is a run of at least four letters that occurs so often in the corpus.
-COMMON = 5
+#: A dictionary word is a run of at least four letters in this share of the different texts, in two at
+#: least. So there are at most as many words as a thousand texts hold, whatever the corpus.
+COMMON = 0.001
+#: Relative error of the counts of different texts.
+_ERROR = 0.1
 
 # A noncharacter stands before each value of a secret-like name.
 _MARK = "\uFDD0"
@@ -45,17 +49,37 @@ _CONTEXT = r"((?:\S*\s*[=:]+>?\s*(?:(?i:bearer|basic|token)\s+)?|\S+\s+)?[^\s\w]
 # Only an assignment's signs, so its name is the run before.
 _SIGNS = r"^[\"'`\])]*\s*[=:]+>?\s*(?:(?i:bearer|basic|token)\s+)?[\"'`]?$"
 _KEYWORD = r"token|secret|passw|api[_-]?key|auth|credential"
+# Names of secrets as words of their own, or as the last part of a name.
+_SECRET_NAME = (
+    r"(?:token|secret|passwo?r?d|passphrase|pwd|(?:api|access|private|secret)[_-]?key|authorization|"
+    r"credentials?|bearer)(?![a-z])"
+)
+# Names of values that only look random.
+_OTHER_NAME = (
+    r"(?<![a-z])(?:commit|checkout|rev(?:ision)?|sha-?\d*(?:sum)?|md5|checksum|digest|hash|etag|integrity|"
+    r"uuid|guid|id|cid|image|base64|src|href|path|file|order|card|page|model|author|version|v)(?![a-z])"
+)
+# Weight of a pair of letters that no word has.
+_RARE = -5.0
+_VENDOR = (
+    r"^(?:AKIA[A-Z0-9]{16}|gh[pousr]_[A-Za-z0-9]{36}|github_pat_|sk-[A-Za-z0-9_\-]{20}|[sr]k_live_|xox[abprs]-|"
+    r"AIza[A-Za-z0-9_\-]{35}|glpat-|eyJ[A-Za-z0-9_\-]{8,}\.)"
+)
 
 FEATURES = [
     "length",
     "digits",
     "capitals",
+    "signs",
     "hexadecimal",
     "transitions",
+    "pairs",
     "distinct",
     "dictionary",
     "path",
+    "vendor",
     "keyword",
+    "other_name",
     "assigned",
     "quoted",
 ]
@@ -149,10 +173,38 @@ def _with_context(matches: Column, gaps: Column) -> Column:
 
 
 def dictionary(docs: DataFrame, text: str = "text") -> DataFrame:
-    """Letter runs of at least four that occur ``COMMON`` times in all texts."""
+    """``(run, texts)``: letter runs of at least four in a share ``COMMON`` of the different texts.
+
+    Copies of a text count once: a sketch per run counts the hashes of the texts that hold it. The
+    words of the labelled findings belong to every dictionary.
+    """
     runs = F.explode(F.regexp_extract_all(F.lower(F.col(text)), F.lit("([a-z]{4,})"), 1))
-    counted = docs.select(runs.alias("run")).groupBy("run").agg(F.count("*").alias("n"))
-    return counted.where(F.col("n") >= COMMON).select("run")
+    hashed = docs.select(F.xxhash64(text).alias("hash"), runs.alias("run"))
+    counted = hashed.groupBy("run").agg(F.approx_count_distinct("hash", _ERROR).alias("texts"))
+    every = docs.agg(F.approx_count_distinct(F.xxhash64(text), _ERROR).alias("every"))
+    bar = F.greatest(F.lit(2.0), every.select(F.col("every") * COMMON).scalar())
+    known = docs.sparkSession.range(1).select(
+        F.explode(F.split(F.lit(WORDS), " ")).alias("run"), F.lit(1).cast("long").alias("texts")
+    )
+    common = counted.where(F.col("texts") >= bar).union(known)
+    return common.groupBy("run").agg(F.sum("texts").alias("texts"))
+
+
+def letter_pairs(words: DataFrame) -> DataFrame:
+    """``(pair, weight)``: logarithm of how often the second letter follows the first in words.
+
+    At most 676 rows.
+    """
+    pairs = words.select(F.explode(_pairs(F.col("run"))).alias("pair"), "texts")
+    counted = pairs.groupBy("pair").agg(F.sum("texts").alias("n"))
+    first = counted.groupBy(F.left("pair", F.lit(1)).alias("first")).agg(F.sum("n").alias("all"))
+    both = counted.join(first, F.left("pair", F.lit(1)) == F.col("first"))
+    return both.select("pair", F.log((F.col("n") + 1) / (F.col("all") + 26)).alias("weight"))
+
+
+def _pairs(run: Column) -> Column:
+    """Pairs of letters that follow each other."""
+    return F.regexp_extract_all(run, F.lit("(?=([a-z][a-z]))"), 1)
 
 
 def _share(pattern: str) -> Column:
@@ -161,32 +213,43 @@ def _share(pattern: str) -> Column:
 
 def features(found: DataFrame, words: DataFrame) -> DataFrame:
     """``found`` with the columns ``FEATURES``."""
-    # Each distinct candidate is looked up once; a candidate may be in very many documents.
-    distinct = found.select("candidate").distinct()
+    # Each distinct candidate is looked up once; a candidate may be in very many documents. Its parts
+    # carry a digest, as a very long candidate has very many.
+    found = found.withColumn("digest_", F.md5("candidate"))
+    distinct = found.groupBy("digest_").agg(F.lower(F.min("candidate")).alias("candidate"))
+    distinct = stage(distinct, "secret-distinct")
     runs = distinct.select(
-        "candidate",
-        F.explode(F.regexp_extract_all(F.lower("candidate"), F.lit("([a-z]{4,})"), 1)).alias("run"),
+        "digest_", F.explode(F.regexp_extract_all("candidate", F.lit("([a-z]{4,})"), 1)).alias("run")
     )
-    covered = runs.join(words, "run").groupBy("candidate").agg(
-        F.sum(F.length("run")).alias("covered")
+    covered = runs.join(words, "run").groupBy("digest_").agg(F.sum(F.length("run")).alias("covered_"))
+    # At most 676 rows are broadcast.
+    pairs = distinct.select("digest_", F.explode(_pairs(F.col("candidate"))).alias("pair"))
+    pairs = pairs.join(F.broadcast(letter_pairs(words)), "pair", "left").groupBy("digest_").agg(
+        F.avg(F.coalesce("weight", F.lit(_RARE))).alias("pairs_")
     )
-    joined = found.join(stage(covered, "secret-coverage"), "candidate", "left")
+    looked_up = stage(pairs.join(covered, "digest_", "full"), "secret-coverage")
+    joined = found.join(looked_up, "digest_", "left")
     length = F.length("candidate")
     classes = r"[a-z]+|[A-Z]+|[0-9]+|[^a-zA-Z0-9]+"
     made = {
         "length": length,
         "digits": _share("[0-9]"),
         "capitals": _share("[A-Z]"),
+        "signs": _share("[^A-Za-z0-9]"),
         "hexadecimal": _share("[0-9a-f]"),
         "transitions": _share(classes),
+        "pairs": F.coalesce("pairs_", F.lit(_RARE)),
         "distinct": F.size(F.array_distinct(F.split("candidate", ""))) / length,
-        "dictionary": F.coalesce("covered", F.lit(0)) / length,
+        "dictionary": F.coalesce("covered_", F.lit(0)) / length,
         "path": F.regexp_count("candidate", F.lit("/")) + F.col("before").rlike(r"[/.\\]$").cast("int"),
-        "keyword": F.col("before").rlike(_KEYWORD),
+        "vendor": F.col("candidate").rlike(_VENDOR),
+        "keyword": F.col("before").rlike(_SECRET_NAME),
+        "other_name": F.col("before").rlike(_OTHER_NAME),
         "assigned": F.col("before").rlike(r"[=:]\s*[\"']?$"),
         "quoted": F.col("before").rlike(r"[\"']$"),
     }
-    return joined.withColumns({name: made[name].cast("double") for name in FEATURES})
+    made = {name: made[name].cast("double") for name in FEATURES}
+    return joined.withColumns(made).drop("digest_", "covered_", "pairs_")
 
 
 def labelled(found: DataFrame) -> DataFrame:
@@ -202,12 +265,24 @@ def labelled(found: DataFrame) -> DataFrame:
     return found.withColumn("label", label).where(F.col("label").isNotNull())
 
 
+def examples(spark: SparkSession) -> DataFrame:
+    """Labelled findings of the texts of :func:`example_texts`, found as those of a corpus are.
+
+    A candidate that holds the value has the label of its form; others, such as names, are none.
+    """
+    found = candidates(example_texts(spark), "example")
+    value = F.col("example.value")
+    inside = F.contains("candidate", value) | F.contains(value, "candidate")
+    return found.select("candidate", "before", F.when(inside, F.col("example.label")).otherwise(0.0).alias("label"))
+
+
 def fit(findings: DataFrame) -> RandomForestClassificationModel | None:
     """A forest on at most ``SAMPLE`` labelled findings of each class, drawn by a hash.
 
     ``findings`` has ``FEATURES``, ``candidate``, ``before`` and ``label``. None without both classes.
     """
     order = [F.xxhash64("candidate", "before"), *[F.col(name) for name in FEATURES]]
+    findings = findings.select(*FEATURES, "candidate", "before", F.col("label").cast("double"))
     drawn = [
         findings.where(F.col("label") == value).orderBy(*order).limit(SAMPLE) for value in (0.0, 1.0)
     ]
@@ -229,17 +304,19 @@ def scan(
     """``(key, number, shown, sha256, score)`` per finding that the forest keeps.
 
     Built-in expressions and Spark's own forest only. ``findings`` are labelled findings to learn
-    from, with ``candidate``, ``before`` and ``label``; without them those of ``docs`` that
-    :func:`labelled` is sure of. A secret is not shown whole: its first four characters, and a hash.
-    Without both labels there is no forest, and the findings are those that :func:`labelled` takes
-    for keys, with score 1. Rows that repeat are scanned each; other columns are not read. An empty
-    table has an empty result.
+    from, with ``candidate``, ``before`` and ``label``; without them :func:`examples`, vendors' keys,
+    tokens and passwords against commit ids, sums, paths, encoded data, names and prose. A secret is
+    not shown whole: its first four characters, and a hash. Where ``findings`` have one label only
+    there is no forest, and the result are the findings that :func:`labelled` takes for keys, with
+    score 1. Rows that repeat are scanned each; other columns are not read. An empty table has an
+    empty result.
     """
     words = stage(dictionary(docs, text), "secret-dictionary")
     found = stage(candidates(docs, key, text), "secret-candidates")
     found = stage(features(found, words), "secret-features")
-    known = labelled(found) if findings is None else features(findings, words)
-    model = fit(known)
+    if findings is None:
+        findings = stage(examples(docs.sparkSession), "secret-examples")
+    model = fit(features(findings, words))
     if model is None:
         sure = labelled(found)
         scored = sure.withColumn("score", F.col("label"))

@@ -181,7 +181,8 @@ def dictionary(docs: DataFrame, text: str = "text") -> DataFrame:
     runs = F.regexp_extract_all(F.lower(F.col(text)), F.lit("([a-z]{4,})"), 1)
     # The hash is made before the explode, once per text and not once per run of its letters.
     hashed = docs.select(F.xxhash64(text).alias("hash"), F.array_distinct(runs).alias("runs"))
-    counted = hashed.select("hash", F.explode("runs").alias("run")).groupBy("run").agg(F.approx_count_distinct("hash", _ERROR).alias("texts"))
+    exploded = hashed.select("hash", F.explode("runs").alias("run"))
+    counted = exploded.groupBy("run").agg(F.approx_count_distinct("hash", _ERROR).alias("texts"))
     every = docs.agg(F.approx_count_distinct(F.xxhash64(text), _ERROR).alias("every"))
     bar = F.greatest(F.lit(2.0), every.select(F.col("every") * COMMON).scalar())
     known = docs.sparkSession.range(1).select(

@@ -4,36 +4,110 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodgestar.functions.rating import rating, words
 
+# Rows of the Bloom filter: two longs each, so at most 4 MiB are broadcast whatever the lexicon's size.
+BLOOM_ROWS = 1 << 18
 
-def count_hits(
+
+def fits_broadcast(lexicon: DataFrame) -> bool:
+    """Whether Spark's own estimate of the lexicon is below its broadcast threshold."""
+    session = lexicon.sparkSession
+    threshold = session._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    estimate = lexicon._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return estimate <= threshold
+
+
+def _bloom_row(word: Column) -> Column:
+    return F.xxhash64(word).bitwiseAND(F.lit(BLOOM_ROWS - 1).cast("long"))
+
+
+def _bloom_bits(word: Column) -> Column:
+    """Three of the 64 bits of a word's row, from parts of its hash that do not choose the row."""
+    bits = F.lit(0).cast("long")
+    for start in (20, 26, 32):
+        place = F.shiftrightunsigned(F.xxhash64(word), start).bitwiseAND(F.lit(63).cast("long"))
+        one = F.call_function("shiftleft", F.lit(1).cast("long"), place.cast("int"))
+        bits = bits.bitwiseOR(one)
+    return bits
+
+
+def bloom_filter(lexicon: DataFrame) -> DataFrame:
+    """``(bloom_row, bloom_bits)``: all words of the lexicon in at most ``BLOOM_ROWS`` rows."""
+    return lexicon.groupBy(_bloom_row(F.col("word")).alias("bloom_row")).agg(
+        F.bit_or(_bloom_bits(F.col("word"))).alias("bloom_bits")
+    )
+
+
+def possible_hits(
     texts: DataFrame, lexicon: DataFrame, *, key: str, text: str, keep: Sequence[str] = ()
 ) -> DataFrame:
-    """Number of positive and negative words per text: key, ``keep``, positive, negative.
+    """Words per text that the lexicon may hold, with their number: key, ``keep``, word, n.
 
-    Words are exploded, looked up and counted again per key. The count before the shuffle brings a
-    text back to one narrow row in the task that read it, so no text and no word is shuffled. The
-    lexicon has one row per word; Spark broadcasts it while it is below the broadcast threshold,
-    and a larger one is joined by a shuffle whose hot words AQE splits. The left join keeps texts
-    without any hit.
+    All other words of a text become one row, whose word starts with a space and has the key, so
+    that these rows spread over the join that follows. The Bloom filter is tested and words are
+    counted in the task that read the text, before anything is shuffled.
     """
     tokens = texts.select(key, *keep, F.explode_outer(words(F.col(text))).alias("word"))
+    word = F.col("word")
+    tested = tokens.join(
+        F.broadcast(bloom_filter(lexicon)), _bloom_row(word) == F.col("bloom_row"), "left"
+    )
+    possible = F.col("bloom_bits").bitwiseAND(_bloom_bits(word)) == _bloom_bits(word)
+    others = F.concat(F.lit(" "), F.coalesce(F.col(key).cast("string"), F.lit("")))
+    kept = tested.select(key, *keep, F.when(possible, word).otherwise(others).alias("word"))
+    return kept.groupBy(key, *keep, "word").agg(F.count("*").alias("n"))
+
+
+def count_hits(
+    texts: DataFrame,
+    lexicon: DataFrame,
+    *,
+    key: str,
+    text: str,
+    keep: Sequence[str] = (),
+    prefilter: bool | None = None,
+) -> DataFrame:
+    """Number of positive and negative words per text: key, ``keep``, positive, negative.
+
+    Words are exploded, looked up and counted again per key. The lexicon has one row per word. While
+    Spark broadcasts it, the count before the shuffle brings a text back to one narrow row in the
+    task that read it, so no text and no word is shuffled. A lexicon above the threshold is first
+    reduced to a Bloom filter of bounded size, and only words that pass it are shuffled to the
+    lexicon, once per text with their number; AQE splits hot ones. ``prefilter`` chooses the way,
+    which :func:`fits_broadcast` does otherwise. Texts without any hit stay.
+    """
+    if prefilter is None:
+        prefilter = not fits_broadcast(lexicon)
+    if prefilter:
+        tokens = possible_hits(texts, lexicon, key=key, text=text, keep=keep)
+        # Words of a text hold no spaces.
+        lexicon = lexicon.where(~F.contains("word", F.lit(" ")))
+        number = F.col("n")
+    else:
+        tokens = texts.select(key, *keep, F.explode_outer(words(F.col(text))).alias("word"))
+        number = F.lit(1)
     hits = tokens.join(lexicon, "word", "left")
     return hits.groupBy(key, *keep).agg(
-        F.coalesce(F.sum("positive"), F.lit(0)).alias("positive"),
-        F.coalesce(F.sum("negative"), F.lit(0)).alias("negative"),
+        F.coalesce(F.sum(F.col("positive") * number), F.lit(0)).alias("positive"),
+        F.coalesce(F.sum(F.col("negative") * number), F.lit(0)).alias("negative"),
     )
 
 
 def rate_texts(
-    texts: DataFrame, lexicon: DataFrame, *, key: str, text: str, keep: Sequence[str] = ()
+    texts: DataFrame,
+    lexicon: DataFrame,
+    *,
+    key: str,
+    text: str,
+    keep: Sequence[str] = (),
+    prefilter: bool | None = None,
 ) -> DataFrame:
     """One row per text: key, ``keep``, positive, negative, rating."""
-    counts = count_hits(texts, lexicon, key=key, text=text, keep=keep)
+    counts = count_hits(texts, lexicon, key=key, text=text, keep=keep, prefilter=prefilter)
     return counts.withColumn("rating", rating(F.col("positive"), F.col("negative")))
 
 

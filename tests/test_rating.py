@@ -4,7 +4,10 @@ from conftest import rows
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from lodgestar.operators.sentiment import rate_reviews, rate_texts
+from pyspark.sql import functions as F
+
+from lodgestar.operators import sentiment
+from lodgestar.operators.sentiment import possible_hits, rate_reviews, rate_texts
 from lodgestar.sources import lexicon_from_words
 
 POSITIVE = ["great", "clean", "mixed", "Kategorie"]
@@ -83,3 +86,44 @@ def test_same_result_with_a_shuffled_lexicon(spark):
         assert rate(spark, comments) == expected
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_large_lexicon_shuffles_only_possible_words(spark, monkeypatch):
+    """Rows that leave the tasks grow with the texts and their hits, not with their words."""
+    many = lexicon(spark, [f"plus{i}" for i in range(3_000)], ["minus 1", " 4", *NEGATIVE])
+    comments = [f"plus{i} Plus{i} minus dirty " + " ".join(f"x{i}y{j}" for j in range(300)) for i in range(200)]
+    texts = spark.createDataFrame([*enumerate(comments), (900, None), (None, "noisy")], "id long, text string")
+    found = possible_hits(texts, many, key="id", text="text").collect()
+    known = [r for r in found if not r.word.startswith(" ")]
+    # Per text two hits and one row for all other words; few false positives of 60,000 words.
+    assert len(found) - len(known) == 201 and 401 <= len(known) <= 441
+    assert {r.n for r in known if r.word == "plus7"} == {2}
+    rated = rate_texts(texts, many, key="id", text="text", prefilter=True)
+    plain = rate_texts(texts, many, key="id", text="text", prefilter=False)
+    assert rows(rated) == rows(plain)
+    assert (900, 0, 0, 2.5) in rows(rated) and (None, 0, 1, 0.0) in rows(rated)
+    # A filter that lets nearly everything pass costs rows, never a result.
+    monkeypatch.setattr(sentiment, "BLOOM_ROWS", 2)
+    assert rows(rate_texts(texts, many, key="id", text="text", prefilter=True)) == rows(plain)
+
+
+def test_the_filter_is_tested_before_the_first_shuffle(spark):
+    texts = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    rated = rate_texts(texts, lexicon(spark), key="doc_id", text="text", prefilter=True)
+    plan = rated._jdf.queryExecution().executedPlan().toString()
+    counted = plan.split("Exchange hashpartitioning(doc_id")[-1]
+    assert "partial_count" in counted.splitlines()[1] and "BroadcastHashJoin" in counted
+    first = counted[: counted.index("BroadcastHashJoin")]
+    assert "partial_count" in first and "Exchange" not in first
+
+
+def test_the_size_of_the_lexicon_chooses_the_way(spark, tmp_path):
+    lexicon(spark).write.parquet(str(tmp_path / "words"))
+    stored = spark.read.parquet(str(tmp_path / "words"))
+    assert sentiment.fits_broadcast(stored)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "100")
+    try:
+        assert not sentiment.fits_broadcast(stored)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)

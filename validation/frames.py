@@ -89,6 +89,17 @@ class Frames:
         positive, negative = self.lexicon_words
         return stage(lexicon_from_words(positive, negative), "lexicon")
 
+    @cached_property
+    def large_lexicon(self) -> DataFrame:
+        """Words of the conversations, which grow with them, by the same rule."""
+        tokens = self.table("conversations").select(F.explode(words(F.col("text"))).alias("word"))
+        length = F.length("word")
+        used = tokens.where(length > 3)
+        return stage(
+            lexicon_from_words(used.where(length % 2 == 0), used.where(length % 2 == 1)),
+            "large-lexicon",
+        )
+
     @property
     def lexicon_words(self) -> tuple[DataFrame, DataFrame]:
         # A word list has a word per line, so no word may hold a newline.

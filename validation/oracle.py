@@ -47,6 +47,14 @@ lexicon AS (
   FROM benchmark_words WHERE length(word) > 3
 )"""
 
+_LARGE_LEXICON = f"""
+conversation_words AS (SELECT DISTINCT {_words("text")} AS word FROM conversations),
+lexicon AS (
+  SELECT word, CAST(length(word) % 2 = 0 AS INTEGER) AS positive,
+         CAST(length(word) % 2 = 1 AS INTEGER) AS negative
+  FROM conversation_words WHERE length(word) > 3
+)"""
+
 
 def _rated(source: str, key: str, text: str, name: str) -> str:
     """Hits and rating per text of ``source``."""
@@ -287,6 +295,10 @@ def all_oracle_sql() -> dict[str, str]:
             [_LEXICON, _RATED_DOCUMENTS],
             "SELECT doc_id, positive, negative, round(rating, 10) AS rating FROM rated_documents",
         ),
+        "sentiment_large_lexicon": _with(
+            [_LARGE_LEXICON, _RATED_DOCUMENTS],
+            "SELECT doc_id, positive, negative, round(rating, 10) AS rating FROM rated_documents",
+        ),
         "rate_extracted_reviews": _with(
             [_LEXICON, _RECORDS, _RATED_RECORDS],
             "SELECT listing_id, date, round(rating, 10) AS rating FROM rated_records",

@@ -205,6 +205,16 @@ def sentiment_rating(frames: Frames) -> DataFrame:
     return frames.rated_documents.select("doc_id", "positive", "negative", _rounded("rating", 10))
 
 
+@query
+def sentiment_large_lexicon(frames: Frames) -> DataFrame:
+    """The way for a lexicon above the broadcast threshold."""
+    documents = frames.table("documents").select("doc_id", "text")
+    rated = sentiment.rate_texts(
+        documents, frames.large_lexicon, key="doc_id", text="text", prefilter=True
+    )
+    return rated.select("doc_id", "positive", "negative", _rounded("rating", 10))
+
+
 @query
 def rate_extracted_reviews(frames: Frames) -> DataFrame:
     rated = sentiment.rate_reviews(parse_reviews(frames.review_records), frames.lexicon)

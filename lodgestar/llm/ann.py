@@ -2,18 +2,22 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lodgestar.llm.embedding_dedup import as_matrix
 from lodgestar.session import stage
 
 NEIGHBOURS = 10
-SHARD = 8_192
+#: A shard holds so many rows times the root of their number, so that rows and copies of queries grow
+#: alike, until it holds ``SHARD_VALUES`` components.
+SHARD = 32
+SHARD_VALUES = 4_000_000
+#: Queries that go down a tree together.
 QUERIES = 2_048
 LEAF = 256
 #: Factor of pruning: a part is skipped if its distance bound times FACTOR exceeds the worst
@@ -114,6 +118,68 @@ def _finite(vector):
     )
 
 
+_FOUND = pa.schema([("query_id", pa.int64()), ("member", pa.int64()), ("score", pa.float64())])
+_FOUND_SQL = "query_id long, member long, score double"
+
+
+class Stream:
+    """Sorted rows of one or several shards: a shard's vectors come first, then all queries.
+
+    A tree is built once, when its shard's last vector is read; queries pass it in blocks.
+    """
+
+    def __init__(self, k: int, factor: float, leaf: int, block: int) -> None:
+        self.k, self.factor, self.leaf, self.block = k, factor, leaf, block
+
+    def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shard, parts, tree = None, [], None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            places = np.stack([batch.column(n).to_numpy() for n in ("shard", "size", "kind")])
+            cuts = np.flatnonzero((places[:, 1:] != places[:, :-1]).any(axis=0)) + 1
+            for start, end in zip([0, *cuts], [*cuts, batch.num_rows]):
+                if tuple(places[:2, start]) != shard:
+                    shard, parts, tree = tuple(places[:2, start]), [], None
+                run = _vectors(batch.slice(start, end - start))
+                if places[2, start] == 0:
+                    parts.append(run)
+                    continue
+                if tree is None and not parts:
+                    continue  # no vector of this length in the shard
+                if tree is None:
+                    ids, points = map(np.concatenate, zip(*parts))
+                    tree, parts = build(points, np.arange(len(ids)), self.leaf), []
+                for at in range(0, len(run[0]), self.block):
+                    asking = [part[at : at + self.block] for part in run]
+                    yield self._search(tree, ids, points, *asking)
+
+    def _search(self, tree, ids, points, query_ids, queries) -> pa.RecordBatch:
+        found = Search(points, ids, queries, query_ids, self.k, self.factor)
+        found.run(tree, np.arange(len(queries)))
+        some = np.isfinite(found.near)
+        columns = np.repeat(query_ids, self.k)[some.ravel()], found.who[some], found.near[some]
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], schema=_FOUND)
+
+
+def _vectors(run: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """Ids and vectors, which are of one length."""
+    values = run.column("vector").flatten().to_numpy(zero_copy_only=False)
+    return run.column("id").to_numpy(), values.reshape(run.num_rows, -1)
+
+
+def _dealt(points: DataFrame, asked: DataFrame, shards: int) -> DataFrame:
+    """Every vector in one shard, every query in all of them; a partition per shard."""
+
+    def placed(rows: DataFrame, shard: Column, kind: int) -> DataFrame:
+        place = [F.size("vector").alias("size"), F.lit(kind).alias("kind"), "id", "vector"]
+        return rows.select(shard.alias("shard"), *place)
+
+    own = placed(points, F.pmod(F.xxhash64("at"), F.lit(shards)).cast("int"), 0)
+    everywhere = F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))
+    return own.union(placed(asked, everywhere, 1)).repartitionById(shards, F.col("shard"))
+
+
 def search(
     queries: DataFrame,
     vectors: DataFrame,
@@ -130,45 +196,27 @@ def search(
     Vectors of different lengths never meet. Rows that repeat count as rows; equal rows among the
     queries are one query. Other columns are not read. An empty table has an empty result.
 
-    Shards by hash hold about ``SHARD`` vectors, blocks of queries about ``QUERIES``; each pair of
-    a shard and a block is one task group, so its size does not depend on the data. With
-    ``factor`` 1 the result is exact.
+    Vectors lie in shards, spread whatever their values, whose size grows with the root of the rows'
+    number until it is bounded by memory. Every shard's vectors and then the queries go through one
+    task as a sorted stream, so no vector is copied, a tree is built once, and no task holds more
+    than a shard and a block of queries. With ``factor`` 1 the result is exact.
     """
-    points = vectors.select(F.col(key).cast("long").alias("id"), F.col(vector).alias("vector"))
-    points = points.withColumn("size", F.size("vector"))
-    points = stage(points.where(_finite(F.col("vector")) & F.col("id").isNotNull()), "ann-points")
-    asked = queries.select(F.col(key).cast("long").alias("id"), F.col(vector).alias("vector"))
-    asked = asked.distinct().withColumn("size", F.size("vector"))
-    asked = stage(asked.where(_finite(F.col("vector")) & F.col("id").isNotNull()), "ann-queries")
-    shards = max(1, -(-points.count() // SHARD))
-    blocks = max(1, -(-asked.count() // QUERIES))
-    # Rows of equal ids are told apart by their vector, so that they spread as well.
-    placed = points.withColumn("shard", F.pmod(F.xxhash64("id", "vector"), F.lit(shards)))
-    placed = placed.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    dealt = asked.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int"))
-    dealt = dealt.withColumn(
-        "shard", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long")))
-    )
 
-    def near(own: pd.DataFrame, asking: pd.DataFrame) -> pd.DataFrame:
-        if not len(own) or not len(asking):
-            return pd.DataFrame({"query_id": [], "member": [], "score": []})
-        ids, matrix = own["id"].to_numpy(), as_matrix(own["vector"])
-        query_ids, wanted = asking["id"].to_numpy(), as_matrix(asking["vector"])
-        found = Search(matrix, ids, wanted, query_ids, k, factor)
-        found.run(build(matrix, np.arange(len(ids))), np.arange(len(wanted)))
-        some = np.isfinite(found.near)
-        return pd.DataFrame(
-            {
-                "query_id": np.repeat(query_ids, k)[some.ravel()],
-                "member": found.who[some],
-                "score": found.near[some],
-            }
-        )
-
-    group = ("size", "shard", "block")
-    pairs = placed.groupBy(*group).cogroup(dealt.groupBy(*group))
-    best = pairs.applyInPandas(near, "query_id long, member long, score double")
+    def used(rows: DataFrame) -> DataFrame:
+        values = F.col(vector).cast("array<double>")
+        rows = rows.select(F.col(key).cast("long").alias("id"), values.alias("vector"))
+        return rows.where(_finite(F.col("vector")) & F.col("id").isNotNull())
+
+    # Tells rows apart that are equal, so that they spread over the shards.
+    points = used(vectors).withColumn("at", F.monotonically_increasing_id())
+    points = stage(points, "ann-points")
+    asked = stage(used(queries).distinct(), "ann-queries")
+    counted = points.agg(F.count("*").alias("n"), F.max(F.size("vector")).alias("components")).first()
+    most = max(1, SHARD_VALUES // max(1, counted.components or 1))
+    shards = max(1, int(np.ceil(counted.n / max(1, min(SHARD * counted.n**0.5, most)))))
+
+    together = _dealt(points, asked, shards).sortWithinPartitions("shard", "size", "kind")
+    best = together.mapInArrow(Stream(k, factor, LEAF, QUERIES), _FOUND_SQL)
     order = Window.partitionBy("query_id").orderBy("score", "member")
     ranked = best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", F.col("member").alias(key), "score")

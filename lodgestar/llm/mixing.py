@@ -16,9 +16,12 @@ from pyspark.sql import functions as F
 from lodgestar.llm.text import word_count
 from lodgestar.session import stage
 
-#: Key ranges per source. A source's prefix sum over ranges is exact, and only the range in which its
-#: budget ends is sorted.
-RANGES = 65_536
+#: Key ranges per doubling of the key. A source's prefix sum over ranges is exact, and only the range in
+#: which its budget ends is sorted. The logarithm of a key is spread alike whatever the weight's scale,
+#: and a range holds at most 1 / (e * RANGES / ln 2) of the keys drawn, 0.007 %.
+RANGES = 4_096
+#: Doublings beyond these bounds share the last range.
+_DOUBLINGS = 1_100
 
 
 def text_quality(text: Column, size: Column) -> Column:
@@ -94,16 +97,17 @@ def source_cuts(drawn: DataFrame, targets: DataFrame) -> DataFrame:
     """Per source: target, complete epochs, and the place where the selection of the rest ends.
 
     Sizes are summed per key range within each task first, so a source with a third of all rows is
-    as cheap as any. Only rows of the one range where a budget ends are sorted.
+    as cheap as any. Only rows of the one range where a budget ends are sorted, which are few with
+    weights of any scale.
     """
     epochs = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size")))
     budgets = targets.withColumn("epochs", F.coalesce(epochs, F.lit(0)).cast("long")).withColumn(
         "budget", F.round(F.col("target") - F.col("epochs") * F.col("source_size")).cast("long")
     )
     budgets = stage(budgets, "mix-budgets")
-    span = F.least(
-        F.floor((F.lit(1.0) - F.exp(-F.col("mix_.place.draw"))) * RANGES), F.lit(RANGES - 1)
-    )
+    # A key of zero has no logarithm.
+    doublings = F.greatest(F.log2(F.col("mix_.place.draw")), F.lit(-float(_DOUBLINGS)))
+    span = F.floor(F.least(doublings, F.lit(float(_DOUBLINGS))) * RANGES)
     rows = drawn.select("mix_.*", span.alias("span"))
     spans = rows.groupBy("source", "span").agg(F.sum("size").alias("words"))
     upto = Window.partitionBy("source").orderBy("span")

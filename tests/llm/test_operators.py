@@ -79,6 +79,19 @@ def test_targets_are_capped_and_reshared(spark):
     assert targets["c"] == 6 and targets["a"] == pytest.approx(86 / 3) and sum(targets.values()) == pytest.approx(92)
 
 
+@pytest.mark.parametrize("weight", [1.0, 0.25, 0.01, 1e-12, 1e9])
+def test_key_ranges_are_small_at_any_weight(spark, weight):
+    rows = spark.range(200_000).select(
+        F.col("id").alias("doc_id"), F.lit("a").alias("source"), F.lit("x y z").alias("text")
+    )
+    drawn = mixing.with_draws(rows, quality=F.lit(weight))
+    span = F.floor(F.log2("mix_.place.draw") * mixing.RANGES)
+    largest = drawn.groupBy(span.alias("span")).count().agg(F.max("count")).first()[0]
+    assert largest <= 200_000 * 0.0003  # 0.007 % expected, and chance
+    mixed = mixing.mix_drawn(drawn, (1,), 3)
+    assert mixed.agg(F.sum("taken")).first()[0] == 600_000
+
+
 def test_line_dedup_keeps_first_windows(docs, empty):
     kept = {(r.doc_id, r.n_lines): (r.n_removed, r.kept_text) for r in line_dedup.dedup_lines(docs).collect()}
     assert kept[5, 7] == (3, "a\nb\nc\nd")
@@ -287,6 +300,31 @@ def test_exact_search_equals_brute_force(vectors, monkeypatch):
         mine = sorted((r.rank, r.vec_id) for r in found if r.query_id == query)
         assert [v for _, v in mine] == order
     assert ann.search(frame.limit(0), frame).count() == 0
+    # Many shards, several blocks of queries, each vector dealt once.
+    monkeypatch.setattr(ann, "SHARD", 2)
+    monkeypatch.setattr(ann, "QUERIES", 2)
+    again = ann.search(frame.where("vec_id % 50 = 0"), frame).collect()
+    assert sorted(map(tuple, again)) == sorted(map(tuple, found)) and len(found) == 60
+    monkeypatch.setattr(ann, "SHARD_VALUES", 160)
+    again = ann.search(frame.where("vec_id % 50 = 0"), frame).collect()
+    assert sorted(map(tuple, again)) == sorted(map(tuple, found))
+
+
+def test_equal_vectors_spread_over_shards(spark, monkeypatch):
+    """Every vector is dealt once, every query once a shard, and copies do not meet in one."""
+    monkeypatch.setattr(ann, "SHARD", 1)
+    seen = []
+    deal = ann._dealt
+    monkeypatch.setattr(ann, "_dealt", lambda *given: seen.append(deal(*given)) or seen[-1])
+    point = F.array(F.lit(1.0), F.lit(2.0)).alias("embedding")
+    for n, shards in ((400, 20), (1_600, 40)):
+        frame = spark.range(n).select(F.col("id").alias("vec_id"), point)
+        found = ann.search(frame.where("vec_id % 100 = 0"), frame).collect()
+        assert len(found) == n // 100 * 10 and {r.score for r in found} == {0.0}
+        assert sorted(r.vec_id for r in found if r.query_id == 0) == list(range(1, 11))
+        sizes = [r["count"] for r in seen[-1].groupBy("shard").count().collect()]
+        assert len(sizes) == shards and sum(sizes) == n + n // 100 * shards
+        assert max(sizes) <= 3 * (n // shards) + n // 100
 
 
 def test_packing_round_trip(docs, empty):

@@ -2,6 +2,8 @@ import csv
 import datetime
 import io
 import random
+from pathlib import Path
+from types import SimpleNamespace
 
 import pytest
 from conftest import rows
@@ -10,6 +12,7 @@ from hypothesis import strategies as st
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
+from lodgestar.functions import parsing
 from lodgestar.sources import blocks
 from lodgestar.sources import (
     RawLayout,
@@ -381,3 +384,36 @@ def test_strict_listings_fail_on_any_bad_field(spark):
         if kind.simpleString() != "string":
             with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
                 ids({**good, name: "abc"})
+
+
+def test_records_are_found_in_one_pass_whatever_the_text_holds(spark):
+    texts = [
+        "Review 1 for listing 2 by a guest on 2018-01-02:plain\nReview 2 for listing 3 by x on 2018-01-03:\"a\nb\"",
+        "Review 1 for listing 2 by a guest on 2018-01-02:with \x1e and \x1f\nReview 2 for listing 3 by x on 2018-01-03:b",
+        "no record",
+        "",
+        None,
+    ]
+    frame = spark.createDataFrame([(t,) for t in texts], "value string")
+    one = frame.select(F.posexplode_outer(parsing.review_records(F.col("value")))).where("pos % 2 = 1")
+    found = one.select(parsing.split_fields(F.col("col")).alias("field"))
+    each = frame.select(F.explode(parsing.review_matches(F.col("value"))).alias("match"))
+    expected = each.select(parsing.review_fields(F.col("match")).alias("field"))
+    assert sorted(r[0] for r in found.collect()) == sorted(r[0] for r in expected.collect())
+    assert found.count() == 4
+
+
+def test_raw_review_files_are_packed_and_small(spark):
+    """However many reviews a text has, no file holds more than so many, and copies cost little."""
+    from validation import queries
+
+    number, text = queries.RECORDS_PER_FILE * 2 + 10, "some words of a guest " * 20
+    records = spark.range(0, number, 1, 1).select(
+        F.format_string(f"Review %d for listing 7 by a guest on 2018-01-02:{text}", "id").alias("value")
+    )
+    path = queries._write_reviews(SimpleNamespace(spark=spark), records)
+    sizes = [f.stat().st_size for f in Path(path.removeprefix("file:")).glob("part-*")]
+    assert len(sizes) == 3 and sum(sizes) < number * len(text) / 5
+    for mode in ("split", "whole"):
+        reviews = read_reviews(spark, path, mode=mode)
+        assert reviews.where(F.col("comment") == text).count() == number

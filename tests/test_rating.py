@@ -127,3 +127,18 @@ def test_the_size_of_the_lexicon_chooses_the_way(spark, tmp_path):
         assert not sentiment.fits_broadcast(stored)
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_only_hits_and_a_mark_per_text_are_counted(spark):
+    texts = spark.createDataFrame(
+        [(1, "good good bad"), (2, "none of them"), (3, None), (4, ""), (5, " good  ")], "k long, t string"
+    )
+    lexicon = spark.createDataFrame(
+        [("good", 1, 0), ("bad", 0, 1), (" ", 1, 1), ("none of", 1, 0)],
+        "word string, positive int, negative int",
+    )
+    counts = sentiment.count_hits(texts, lexicon, key="k", text="t", prefilter=False)
+    assert rows(counts) == [(1, 2, 1), (2, 0, 0), (3, 0, 0), (4, 0, 0), (5, 1, 0)]
+    plan = counts._jdf.queryExecution().executedPlan().toString()
+    partial = plan.index("partial_sum")
+    assert 0 < plan.index("Filter", partial) < plan.index("Join", partial)

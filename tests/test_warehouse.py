@@ -5,6 +5,7 @@ from pathlib import Path
 import pytest
 from conftest import rows
 from pyspark.errors import PySparkException
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 from test_sources import HEADER, write
 
@@ -376,3 +377,28 @@ def test_command_line(spark, raw, capsys):
     main(["top-hosts", "BERLIN", "--min-reviews", "0", "--k", "1", "--database", "commands"])
     printed = capsys.readouterr().out.splitlines()
     assert {"2018\t1\t2", "3\t90.0\tNULL", "Mitte\tAnn\t5.0\t2"} <= set(printed)
+
+
+def test_stable_ids_are_made_behind_the_shuffle_by_year(spark, raw, monkeypatch):
+    warehouse.create_warehouse(spark, "late_ids", fact_by_year=True)
+    keys = [("N1", datetime.date(2018, 1, 2), "7", "Loft"), (None, datetime.date(2017, 5, 6), "8", None)]
+    rows_ = spark.createDataFrame(
+        [("to be made", *key, 1, 0, 1.0, 2.0, 3) for key in keys],
+        "id string, neighbourhood string, date date, host_id string, room_type string,"
+        " available_listings_count long, not_available_listings_count long, prices_sum double,"
+        " ratings_sum double, declared_reviews_count long",
+    )
+    plans = []
+    insert = DataFrameWriter.insertInto
+
+    def seen(writer, *args, **kwargs):
+        plans.append(writer._df._jdf.queryExecution().optimizedPlan().toString())
+        return insert(writer, *args, **kwargs)
+
+    monkeypatch.setattr(DataFrameWriter, "insertInto", seen)
+    warehouse.insert_rows(rows_, "tof_reviews", "late_ids", stable_ids=True)
+    assert plans[0].index("sha2(") < plans[0].index("RebalancePartitions")
+    table = spark.table("late_ids.tof_reviews")
+    expected = rows_.select(facts.stable_id(*facts.FACT_KEYS))
+    assert rows(table, "id") == rows(expected)
+    assert table.where("year = year(date)").count() == 2

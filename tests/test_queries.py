@@ -1,6 +1,9 @@
 """Every registered query against its SQL on the smallest tables."""
 
+import re
+
 import pytest
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_module
@@ -42,3 +45,25 @@ def test_reviews_hold_whole_documents(spark):
     reviews = all_queries()["scan_review_text_split"](spark, FOLDER)
     comment = F.regexp_replace("comment", '"', "")
     assert reviews.agg(F.count("*"), F.sum(F.length(comment))).first() == expected
+
+
+@pytest.mark.parametrize("name", ["warehouse_roundtrip", "warehouse_run_ids"])
+def test_repeated_inserts_read_the_tables_once(spark, monkeypatch, name):
+    plans = []
+    insert = DataFrameWriter.insertInto
+
+    def seen(writer, *args, **kwargs):
+        plans.append(writer._df._jdf.queryExecution().optimizedPlan().toString())
+        return insert(writer, *args, **kwargs)
+
+    monkeypatch.setattr(DataFrameWriter, "insertInto", seen)
+    all_queries()[name](spark, FOLDER)
+    assert len(plans) == 2
+    # Neither the words of the texts nor the order lines.
+    assert not any("l_orderkey" in plan or "word" in plan for plan in plans)
+
+
+def test_words_of_a_large_lexicon_are_counted_without_moving_by_text_and_word(spark):
+    plan = all_queries()["sentiment_large_lexicon"](spark, FOLDER)._jdf.queryExecution().executedPlan()
+    assert "hashpartitioning(doc_id" in plan.toString()
+    assert not re.search(r"hashpartitioning\(doc_id#\d+L?, word", plan.toString())

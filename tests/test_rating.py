@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from lodgestar.operators import sentiment
 from lodgestar.operators.sentiment import possible_hits, rate_reviews, rate_texts
+from lodgestar.session import stage
 from lodgestar.sources import lexicon_from_words
 
 POSITIVE = ["great", "clean", "mixed", "Kategorie"]
@@ -77,6 +78,32 @@ def test_equal_reviews_are_rated_separately(spark):
     assert rows(rated, "review_id", "rating") == [(0, 5.0), (1, 5.0), (2, 5.0)]
 
 
+def test_copies_of_a_text_are_rated_once_and_all_come_back(spark):
+    texts = ["great", "dirty noisy", "great", None, "", "great", None, "plain"]
+    reviews = spark.createDataFrame(
+        [(i, None if i == 4 else i % 3, t) for i, t in enumerate(texts)],
+        "review_id long, listing_id long, comment string",
+    ).selectExpr("review_id", "listing_id", "date'2018-01-01' AS date", "comment")
+    packed = sentiment.pack_copies(reviews.coalesce(1), key="review_id", text="comment")
+    sizes = packed.selectExpr("review_id", "comment", "size(rows) AS n")
+    assert rows(sizes) == [(0, "great", 3), (1, "dirty noisy", 1), (3, None, 2), (4, "", 1), (7, "plain", 1)]
+    expected = [
+        (0, 0, 5.0), (1, 1, 0.0), (2, 2, 5.0), (3, 0, 2.5), (4, None, 2.5),
+        (5, 2, 5.0), (6, 0, 2.5), (7, 1, 2.5),
+    ]
+    staged = stage(lexicon(spark), "lexicon")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    for threshold in (before, "-1"):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+        try:
+            rated = rate_reviews(reviews, staged)
+            assert rows(rated, "review_id", "listing_id", "rating") == expected
+            plan = rated._jdf.queryExecution().executedPlan().toString()
+            assert ("MapInArrow" in plan) == (threshold == before)
+        finally:
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_same_result_with_a_shuffled_lexicon(spark):
     comments = ["great great dirty", "noisy", "none of these", "great " * 50]
     expected = rate(spark, comments)

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from lodgestar.functions import parsing
 from lodgestar.sources import blocks
+from lodgestar.sources import reviews as reviews_module
 from lodgestar.sources import (
     RawLayout,
     check_required,
@@ -417,3 +418,59 @@ def test_raw_review_files_are_packed_and_small(spark):
     for mode in ("split", "whole"):
         reviews = read_reviews(spark, path, mode=mode)
         assert reviews.where(F.col("comment") == text).count() == number
+
+
+def test_single_records_are_found_as_the_pattern_finds_them(spark):
+    """A text that is one record is told by its head and comment; any other is left to the pattern."""
+    head = "Review 1 for listing 2 by a guest on 2018-01-02"
+    sure = [
+        f"{head}:plain",
+        f'{head}:"two\nlines"',
+        f'{head}:"closed" and more',
+        f"{head}:first line\nsecond line",
+        f"{head}:a colon: and a dash - 2018-01-02",
+        f"{head}:with \x1f and \x1e and ünï\U0001f600",
+        f"Review 1 for listing 2 by 2017-01-01 guest on 12018-01-02:{'x' * 9000}",
+    ]
+    other = [
+        f"{head}:later 2019-03-04:counts",
+        f'{head}:"a" for listing 5 of 2019-03-04:b',
+        f'{head}:"two\nabcdef 3 for listing 4 by x on 2019-03-04:c"',
+        f"{head}:\nReview 3 for listing 4 by x on 2019-03-04:c",
+        f'{head}:"',
+        f'{head}:""',
+        f"{head}:",
+        head,
+        f"x{head}:plain",
+        "Review 1 for listing 2 by a: guest on 2018-01-02:plain",
+        "Review 1 for listing 2 by a guest on 2018-01-02:plain",
+        f"at 10:30 {head}:plain",
+        "",
+    ]
+    # Of every two and three parts, with what ends lines, dates and comments between them.
+    parts = [head, ":", '"', "\n", "\x85", "a", "9:", " 2019-03-04:"]
+    random.seed(5)
+    mixed = [head + "".join(random.choices(parts, k=random.randint(1, 6))) for _ in range(400)]
+    texts = [*sure, *other, *mixed]
+    frame = spark.createDataFrame(list(enumerate(texts)), "id long, value string")
+    by_pattern = frame.select("id", F.posexplode(parsing.review_records(F.col("value"))))
+    expected = {}
+    for row in by_pattern.where("pos % 2 = 1").collect():
+        expected.setdefault(row["id"], []).append(row["col"])
+    cut = frame.select("id", *parsing.head_and_rest(F.col("value")))
+    cut = cut.select("id", "head", parsing.leading_comment(F.col("rest")).alias("comment"))
+    single = cut.select("id", parsing.single_record(F.col("head"), F.col("comment")).alias("one"))
+    found = {row["id"]: row["one"] for row in single.collect()}
+    assert all(found[i] is not None for i in range(len(sure)))
+    assert all(expected[i] == [one] for i, one in found.items() if one is not None)
+    read = reviews_module._records(frame.select("value")).select("field").collect()
+    fields = [one.split("\x1f", 2) for ones in expected.values() for one in ones]
+    assert sorted(row["field"] for row in read) == sorted(fields)
+
+
+def test_forms_of_a_document_are_made_once_however_few_its_stays(spark):
+    from validation.frames import Frames
+
+    frames = Frames(spark, "/root/testdata/sf0.001")
+    plan = frames.review_records._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan

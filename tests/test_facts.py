@@ -206,3 +206,40 @@ def test_a_hot_listing_and_day_makes_no_pairs(spark):
         (True, 2.0, pairs * half),
     ]
     assert facts.join_reviews_listings(rated, copies).count() == third
+
+
+def test_joined_rows_are_made_once_without_a_last_sum(spark):
+    """Listings of several prices, with and without calendar rows; memory holds no joined rows."""
+    rated = [(1, D1, 5.0), (1, D1, 4.0), (1, D2, 3.0), (2, D1, 2.0), (3, D1, 1.0), (None, D1, 1.0)]
+    listings = [
+        listing(1, price=50),
+        listing(1, price=50, room="Shared room"),
+        listing(1, price=70),
+        listing(1, price=None),
+        listing(2, price=None),
+        listing(None),
+    ]
+    calendar = [(1, D1, True, 9.0), (1, D1, True, 9.0), (1, D1, None, None), (1, D3, True, 1.0)]
+    states = facts.review_states(*frames(spark, rated, listings, calendar))
+    assert rows(states, "listing_id", "date", "available", "price", "joined_rows") == [
+        (1, D1, None, None, 8),
+        (1, D1, True, 9.0, 16),
+        (1, D2, True, None, 1),
+        (1, D2, True, 50.0, 2),
+        (1, D2, True, 70.0, 1),
+        (2, D1, True, None, 1),
+    ]
+    plan = states._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    above = plan[: next(i for i, line in enumerate(plan) if "Join" in line)]
+    assert not any("Aggregate" in line for line in above)
+
+
+def test_tasks_of_the_calendar_grow_with_the_order_lines(spark, monkeypatch):
+    from validation import frames as given
+
+    monkeypatch.setattr(given, "LINES_PER_TASK", 500)
+    made = given.Frames(spark, "/root/testdata/sf0.001")
+    lines = made.table("lineitem").count()
+    made.calendar.collect()
+    plan = made.calendar._jdf.queryExecution().executedPlan().toString()
+    assert lines >= 500 * 5 and f"{lines // 500}), REPARTITION_BY_NUM" in plan

@@ -37,6 +37,7 @@ class Staging:
         *,
         bucket_by: str | None = None,
         partition_by: Sequence[str] = (),
+        compression: str | None = None,
     ) -> DataFrame:
         """``rows`` as a table. ``bucket_by`` deals them by that key, one file per bucket, so that
         aggregations and joins on it shuffle nothing further."""
@@ -47,6 +48,8 @@ class Staging:
             writer = writer.bucketBy(buckets, bucket_by).sortBy(bucket_by)
         if partition_by:
             writer = writer.partitionBy(*partition_by)
+        if compression:
+            writer = writer.option("compression", compression)
         table = f"`{self.database}`.`{name}`"
         writer.format("parquet").saveAsTable(table)
         return self.spark.table(table)

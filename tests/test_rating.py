@@ -1,5 +1,7 @@
 import re
 
+import pyarrow as pa
+import pytest
 from conftest import rows
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -104,6 +106,57 @@ def test_copies_of_a_text_are_rated_once_and_all_come_back(spark):
             spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
+def test_hits_are_added_up_in_the_task(spark):
+    """Same as by a shuffle, also where the hits of a text are in several batches, or a batch has none."""
+    comments = ["great " * 9 + "dirty", None, "", "noisy", "plain words", "mixed clean", "great " * 7]
+    texts = spark.createDataFrame(
+        [(n, [f"r{n}"], c) for n, c in enumerate(comments)], "id long, rows array<string>, text string"
+    )
+    staged = stage(lexicon(spark, positive=[*POSITIVE, " ", "two words"]), "lexicon")
+    expected = rate_texts(texts, staged, key="id", text="text", keep=["rows"], prefilter=False)
+    expected = rows(expected, "id", "rows", "positive", "negative")
+    conf = {"spark.sql.execution.arrow.maxRecordsPerBatch": "3", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {name: spark.conf.get(name) for name in conf}
+    for name, value in conf.items():
+        spark.conf.set(name, value)
+    try:
+        for parts in (1, 3):
+            found = sentiment.count_in_task(
+                texts.coalesce(1).repartition(parts), staged, key="id", text="text", keep="rows"
+            )
+            assert rows(found) == expected
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    reviews = texts.selectExpr("id AS review_id", "id AS listing_id", "text AS comment")
+    assert rows(rate_reviews(reviews, staged, in_task=True)) == rows(rate_reviews(reviews, staged))
+
+
+def test_hits_out_of_order_fail():
+    names = ("id", "rows", "positive", "negative")
+
+    def batch(*hits):
+        columns = {"id": [h[0] for h in hits], "is_end": [h[1] for h in hits]}
+        return pa.RecordBatch.from_pydict(
+            columns | {"rows": ["x"] * len(hits), "positive": [1] * len(hits), "negative": [0] * len(hits)}
+        )
+
+    def added(*batches):
+        return [row for b in sentiment._add_up(names)(iter(batches)) for row in b.to_pylist()]
+
+    found = added(batch((1, False), (1, False)), batch((1, True), (2, True), (3, False)), batch((3, True)))
+    assert [(row["id"], row["positive"]) for row in found] == [(1, 3), (2, 1), (3, 2)]
+    for mixed in (
+        [batch((1, False), (2, False), (1, True), (2, True))],
+        [batch((1, False)), batch((2, True))],
+        [batch((1, True), (2, False))],
+    ):
+        with pytest.raises(RuntimeError):
+            added(*mixed)
+
+
 def test_same_result_with_a_shuffled_lexicon(spark):
     comments = ["great great dirty", "noisy", "none of these", "great " * 50]
     expected = rate(spark, comments)

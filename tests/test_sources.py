@@ -387,6 +387,24 @@ def test_strict_listings_fail_on_any_bad_field(spark):
                 ids({**good, name: "abc"})
 
 
+def test_records_with_a_place_have_the_text_of_the_pattern(spark):
+    head = "Review 1 for listing 7 by a on 2018-01-01:"
+    texts = [
+        head + "plain", head + '"quoted\nlines" left over', head + '""', "before " + head + "late",
+        head + 'at 9:30 on 2018-02-02:"x"', f'{head}a\n{head}"b"\nno record', "no record", "", head,
+        head + "sepa\x1frated", head + "line\nnext line", "Re: " + head + "more", None,
+    ]
+    pieces = spark.createDataFrame(list(enumerate(texts)), "row long, value string").selectExpr(
+        "value", "'f' AS file", "0L AS block", "row"
+    )
+    found = reviews_module._records(pieces).select("row", "match", "field")
+    matches = pieces.select("row", F.explode(parsing.review_matches(F.col("value"))).alias("match"))
+    expected = matches.select("row", "match", parsing.review_fields(F.col("match")).alias("field"))
+    assert rows(found) == rows(expected) and len(rows(found)) == 9
+    plain = reviews_module._records(pieces.select("value"))
+    assert rows(plain) == rows(expected.select("field"))
+
+
 def test_records_are_found_in_one_pass_whatever_the_text_holds(spark):
     texts = [
         "Review 1 for listing 2 by a guest on 2018-01-02:plain\nReview 2 for listing 3 by x on 2018-01-03:\"a\nb\"",

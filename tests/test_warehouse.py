@@ -270,6 +270,37 @@ def test_rejected_rows_are_written_by_the_load(spark, raw):
     assert spark.table("rejects.rejected_rows").count() == 6
 
 
+def test_raw_text_of_rejected_rows_is_not_shuffled(spark, raw, monkeypatch):
+    """The task that reads a rejected row writes it; what is shuffled, bucketed and sorted has none."""
+    paris = raw / "review/ParisReviews.txt"
+    write(paris, paris.read_text() + "Review 6 for listing 3 by d on 2019-3-4:bad\n")
+    plans, writers = {}, []
+    staged = Staging.write
+
+    def seen(staging, rows, name, **options):
+        plans[name] = (rows.columns, rows._jdf.queryExecution().executedPlan().toString())
+        writers.append(spark.conf.get("spark.sql.maxConcurrentOutputFileWriters"))
+        return staged(staging, rows, name, **options)
+
+    monkeypatch.setattr(Staging, "write", seen)
+    warehouse.create_warehouse(spark, "narrow")
+    before = spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")
+    warehouse.load_warehouse(spark, inputs(spark, raw, on_error="null"), "narrow")
+    told = sorted(name for name, (columns, _) in plans.items() if "reject" in columns)
+    assert told == ["calendar_read", "listings_read", "reviews_read"]
+    for name in ("calendar_read", "reviews_read"):
+        for node in ("Exchange hashpartitioning", "Sort", "Aggregate"):
+            assert node not in plans[name][1], f"{node} before {name} is written"
+    # Two files are open at a time, as rows would else be sorted to part them.
+    assert writers.count("2") == 6
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == before
+    assert rows(spark.table("narrow.rejected_rows"), "source", "raw", "kept") == [
+        ("reviews", "Review 6 for listing 3 by d on 2019-3-4:bad", False)
+    ]
+    table = spark.table("narrow.tof_reviews")
+    assert rows(table, *table.columns[1:]) == FACTS
+
+
 def test_same_name_in_two_cities(spark, raw):
     path = raw / "listing/ParisListings.csv"
     path.write_text(path.read_text().replace("Louvre,Louvre", "Louvre,Alex"))
